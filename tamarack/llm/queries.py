@@ -13,6 +13,18 @@ def _vocab(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_rules(spark, sf_dir):
+    from tamarack.llm import quality_rules
+
+    return quality_rules.query(table(spark, sf_dir, "documents"))
+
+
+def op3_simhash(spark, sf_dir):
+    from tamarack.llm import simhash
+
+    return simhash.grouped(table(spark, sf_dir, "documents"))
+
+
 def op5_url_filters(spark, sf_dir):
     from tamarack.llm import url_filters
 
@@ -37,6 +49,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    from tamarack.llm import url_filters
+    from tamarack.llm import quality_rules, url_filters
 
-    return {"op5_url_filters": url_filters.oracle()}
+    return {"op1_quality_rules": quality_rules.oracle(), "op5_url_filters": url_filters.oracle()}
