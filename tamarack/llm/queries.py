@@ -19,6 +19,12 @@ def op1_quality_rules(spark, sf_dir):
     return quality_rules.query(table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark, sf_dir):
+    from tamarack.llm import substring_dedup
+
+    return substring_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark, sf_dir):
     from tamarack.llm import simhash
 
@@ -31,6 +37,12 @@ def op5_url_filters(spark, sf_dir):
     return url_filters.judged(table(spark, sf_dir, "pages"))
 
 
+def op8_suffix_dedup(spark, sf_dir):
+    from tamarack.llm import suffix_dedup
+
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe(spark, sf_dir):
     from tamarack.llm import bpe
 
