@@ -37,6 +37,18 @@ def op5_url_filters(spark, sf_dir):
     return url_filters.judged(table(spark, sf_dir, "pages"))
 
 
+def op6_sharding(spark, sf_dir):
+    from tamarack.llm import sharding
+
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
+def op7_token_output(spark, sf_dir):
+    from tamarack.llm import token_output
+
+    return token_output.digests(table(spark, sf_dir, "documents"), _vocab("word_bpe_49k.json"))
+
+
 def op8_suffix_dedup(spark, sf_dir):
     from tamarack.llm import suffix_dedup
 
