@@ -23,15 +23,20 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from tamarack.llm.common import published
+from tamarack.llm.common import dropped, published, staged
 
 #: The published split pattern of the byte-level model.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Texts outside this plain form go through the whole pattern; in plain texts each space and line feed stands alone.
 _ODD = re.compile(r"\s\s|[\x00\x01\t\x0b-\x1f\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u2064\u3000\ufeff]")
 LEXICON_SIZE = 50_000
-CACHE_UNITS = 300_000
+CACHE_UNITS = 800_000
+COUNT_UNITS = 300_000
+#: Marks that never join letters before them in a piece.
+_WORD = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")  # letters in every version of Unicode
+_MARKS = frozenset(".,;:!?")
 
 
 class Transducer:
@@ -181,13 +186,20 @@ class Coder(dict):
         self.lexicon = Transducer(lexicon) if lexicon else None
 
     def merged(self, unit: str) -> bytes:
-        ids = [i for p in _pieces(spelled(unit)) for i in self.core._encode_single_piece(p.encode())]
+        """Exact merges, by rank."""
+        if _WORD.fullmatch(unit):
+            ids = self.core._encode_single_piece(b" " + unit.encode())
+        else:
+            ids = [i for p in _pieces(spelled(unit)) for i in self.core._encode_single_piece(p.encode())]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, unit: str) -> bytes:
-        ids = self.lexicon.ids_of(unit.encode()) if self.lexicon else None
-        if ids is None:
-            ids = self.merged(unit)
+        if unit[-1:] in _MARKS and _WORD.fullmatch(word := unit[:-1]):
+            ids = self[word] + self["\x01" + unit[-1]]  # the pattern parts letters from marks
+        else:
+            ids = self.lexicon.ids_of(unit.encode()) if self.lexicon else None
+            if ids is None:
+                ids = self.merged(unit)
         if len(unit) < 100:
             if len(self) >= CACHE_UNITS:
                 self.clear()
@@ -233,7 +245,7 @@ def counted_units(docs: DataFrame) -> DataFrame:
                 text = text.as_py()
                 if text:
                     got.update(units(text))
-                if len(got) > CACHE_UNITS:
+                if len(got) > COUNT_UNITS:
                     yield from sent(got)
                     got.clear()
         yield from sent(got)
@@ -247,7 +259,11 @@ def counted_units(docs: DataFrame) -> DataFrame:
 
 def lexicon(docs: DataFrame, model: str, size: int = LEXICON_SIZE) -> str:
     """Compile and publish the transducer of the ``size`` most frequent units."""
-    top = counted_units(docs).orderBy(F.desc("n"), "unit").limit(size).collect()
+    counts = staged(counted_units(docs), "bpe-units")
+    by_count = counts.groupBy("n").agg(F.count("*").alias("units")).withColumn("above", F.sum("units").over(W.orderBy(F.desc("n"))))
+    least = by_count.filter(F.col("above") <= size).agg(F.min("n")).first()[0]
+    top = counts.filter(F.col("n") >= F.lit(least)).select("unit").collect() if least is not None else []  # ``size`` rows at most
+    dropped(counts)
     c = Coder(model)
     return published(docs.sparkSession, "lexicon", Transducer.built({bytes(r["unit"]): c.merged(bytes(r["unit"]).decode()) for r in top if len(r["unit"])}))
 
