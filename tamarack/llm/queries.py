@@ -31,6 +31,12 @@ def op3_simhash(spark, sf_dir):
     return simhash.grouped(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extract(spark, sf_dir):
+    from tamarack.llm import html_extract
+
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_url_filters(spark, sf_dir):
     from tamarack.llm import url_filters
 
