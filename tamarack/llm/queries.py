@@ -67,6 +67,12 @@ def op9_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), _vocab("byte_bpe_50k.json"))
 
 
+def op10_decontaminate(spark, sf_dir):
+    from tamarack.llm import decontaminate
+
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark, sf_dir):
     return importlib.import_module("corpus_pipeline").run(spark, sf_dir)
 
