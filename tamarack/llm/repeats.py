@@ -7,8 +7,10 @@ sent. Buckets are named by content fingerprints, so a bucket has the same name e
 1. Initial buckets: the q-grams at all anchors, counted over the corpus. Buckets of one are finished.
 2. Refinement: an anchor in a larger bucket is told apart by its *context*, all symbols that windows which it can own
    reach. Anchors with equal context (a class) repeat each other in full.
-3. In buckets of several classes, where a class has one member only, one member of each class sends the windows it owns
-   to ``resolve``, which finds those that two classes share. As a class's windows overlap, the first and the last suffice.
+3. In buckets of several classes, where a class has one member only, one member of each class sends its context. A bucket
+   fits in memory, and ``solve`` finds the windows that two of its classes share; as a class's windows overlap, the first
+   and the last suffice. Buckets of more than ``BUCKET`` classes send each window by itself to ``resolve`` instead, which
+   deals them out by content.
 4. Each document gets the results of its classes and turns them into covered spans.
 
 Documents travel only if they have an anchor in a bucket of two or more.
@@ -27,6 +29,8 @@ from pyspark.sql import functions as F
 from tamarack.llm.common import dropped, released, staged
 
 BLOCK = 1 << 18
+BUCKET = 20_000
+ROWS = 4_096
 _ONE = np.uint64(1)
 FULL = -(1 << 30)
 
@@ -155,15 +159,51 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(F.col("doc_id").cast("long"), text, F.lit(8)).alias("k"))
 
 
+def wanted_anchors(found, want: pa.StructArray):
+    """Of each part, one anchor of each wanted class that no part before had."""
+    key = np.sort(mixed(np.asarray(want.field("a")).view(np.uint64)) ^ np.asarray(want.field("g")).view(np.uint64))
+    done: set = set()
+    for p in found:
+        name = mixed(p.gram) ^ p.context
+        own = np.flatnonzero(key[np.minimum(np.searchsorted(key, name), len(key) - 1)] == name)
+        own = np.array([i for i in own.tolist() if not (name[i] in done or done.add(name[i]))], np.int64)
+        if len(own):
+            yield p, own
+
+
+@dataclass
+class Bucketful:
+    """Classes of whole buckets: bucket numbers, symbols to the left (from the anchor outwards) and right, and the numbers of these."""
+
+    bucket: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    n_left: np.ndarray
+    n_right: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    def windows(self, back: int, width: int) -> np.ndarray:
+        """Which classes own the window that starts ``back`` symbols before the anchor."""
+        return (self.low <= -back) & (-back <= self.high) & (self.n_left >= back) & (self.n_right >= width - 1 - back)
+
+
 @dataclass(frozen=True)
 class Finder:
-    """``symbols``: text -> uint64 array. ``resolve``: windows table -> classes with their first and last repeated window."""
+    """``raw``: text -> its symbols, ``spread``: symbols -> random 64-bit values. ``solve``: classes of whole buckets -> for each offset
+    before the anchor, which windows are shared (a generator of offset and class indexes). ``resolve``: table of windows -> classes with
+    their first and last shared window; ``window`` makes more columns for it."""
 
     shape: Shape
-    symbols: Callable[[str], np.ndarray]
+    raw: Callable[[str], np.ndarray]
+    spread: Callable[[np.ndarray], np.ndarray]
+    solve: Callable
     resolve: Callable[[DataFrame], DataFrame]
     window: Callable[[Sums, np.ndarray, np.ndarray], list[pa.Array]] | None = None
 
+    def symbols(self, text: str) -> np.ndarray:
+        return self.spread(self.raw(text))
+
     def anchors(self, docs: DataFrame) -> DataFrame:
         """``k, a, n``: the initial buckets of each document."""
         shape, symbols = self.shape, self.symbols
@@ -210,6 +250,68 @@ class Finder:
         released(docs.sparkSession)
         return out
 
+    def contexts(self, docs: DataFrame, wanted: DataFrame) -> DataFrame:
+        """For each class ``k, a, g``: its owned windows (from the anchor) and the symbols around its q-gram."""
+        shape, raw, spread = self.shape, self.raw, self.spread
+
+        def run(batches):
+            for batch in batches:
+                rows = []
+                for text, cls in zip(batch.column(0), batch.column(1), strict=True):
+                    base = raw(text.as_py())
+                    for p, own in wanted_anchors(parts(spread(base), shape), cls.values):
+                        at = p.at[own] + p.offset
+                        b, e = np.maximum(0, at - shape.width + 1), np.minimum(len(base), at + shape.gram + shape.width - 1)
+                        for i, x, y, z in zip(own.tolist(), b.tolist(), at.tolist(), e.tolist(), strict=True):
+                            rows.append((p.gram[i], p.context[i], p.low[i] - p.at[i], p.high[i] - p.at[i], base[x:y][::-1].tobytes(), base[y + shape.gram : z].tobytes()))
+                if rows:
+                    a, g, low, high, left, right = zip(*rows, strict=True)
+                    yield pa.RecordBatch.from_arrays([_signed(np.array(a, np.uint64)), _signed(np.array(g, np.uint64)), pa.array(np.array(low, np.int32)), pa.array(np.array(high, np.int32)), pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "g", "low", "high", "left", "right"])
+
+        lists = wanted.groupBy("k").agg(F.collect_list(F.struct("a", "g")).alias("want"))
+        return docs.join(lists, "k").select("text", "want").mapInArrow(run, "a long, g long, low int, high int, left binary, right binary")
+
+    def solved(self, contexts: DataFrame) -> DataFrame:
+        """``a, g, first, last`` of the classes that share a window with another class of their bucket."""
+        shape, solve, kind = self.shape, self.solve, self.raw("").dtype
+
+        def run(batches):
+            held = []
+            for batch in batches:
+                held.append(batch)
+                if sum(b.num_rows for b in held) >= ROWS:
+                    rows = pa.Table.from_batches(held).combine_chunks()
+                    a = rows.column(0).to_numpy()
+                    if cut := int(np.searchsorted(a, a[-1])):  # the last bucket may go on
+                        yield from found(rows.slice(0, cut))
+                        held = rows.slice(cut).combine_chunks().to_batches()
+            if held:
+                yield from found(pa.Table.from_batches(held).combine_chunks())
+
+        def grid(col):
+            col = col.combine_chunks()
+            raw = [np.frombuffer(x.as_py(), kind) for x in col]
+            n = np.fromiter(map(len, raw), np.int64, len(raw))
+            out = np.zeros((len(raw), shape.width - 1), kind)
+            out[np.arange(shape.width - 1) < n[:, None]] = np.concatenate(raw) if raw else []
+            return out, n
+
+        def found(rows):
+            if not rows.num_rows:
+                return
+            a = rows.column(0).to_numpy()
+            (left, n_left), (right, n_right) = grid(rows.column(4)), grid(rows.column(5))
+            number = np.cumsum(np.concatenate([[0], a[1:] != a[:-1]]))
+            part = Bucketful(number, left, right, n_left, n_right, rows.column(2).to_numpy(), rows.column(3).to_numpy())
+            first, last = np.full(len(a), 1 << 30), np.full(len(a), FULL)
+            for back, i in solve(part, shape.width):
+                first[i] = np.minimum(first[i], -back)
+                last[i] = np.maximum(last[i], -back)
+            i = np.flatnonzero(last > FULL)
+            yield pa.RecordBatch.from_arrays([pa.array(a[i]), pa.array(rows.column(1).to_numpy()[i]), pa.array(first[i].astype(np.int32)), pa.array(last[i].astype(np.int32))], names=["a", "g", "first", "last"])
+
+        return contexts.repartition("a").sortWithinPartitions("a").mapInArrow(run, "a long, g long, first int, last int")
+
     def windows(self, docs: DataFrame, wanted: DataFrame) -> DataFrame:
         """The windows of the classes ``k, a, g``: ``a, g, at`` (from the anchor), and what ``window`` makes of each."""
         shape, symbols, window = self.shape, self.symbols, self.window
@@ -218,15 +320,7 @@ class Finder:
         def run(batches):
             for batch in batches:
                 for text, cls in zip(batch.column(0), batch.column(1), strict=True):
-                    want = cls.values
-                    key = np.sort(mixed(np.asarray(want.field("a")).view(np.uint64)) ^ np.asarray(want.field("g")).view(np.uint64))
-                    done: set = set()
-                    for p in parts(symbols(text.as_py()), shape):
-                        name = mixed(p.gram) ^ p.context
-                        own = np.flatnonzero(key[np.minimum(np.searchsorted(key, name), len(key) - 1)] == name)
-                        own = np.array([i for i in own.tolist() if not (name[i] in done or done.add(name[i]))], np.int64)
-                        if not len(own):
-                            continue
+                    for p, own in wanted_anchors(parts(symbols(text.as_py()), shape), cls.values):
                         size = p.high[own] - p.low[own] + 1
                         rep = np.repeat(own, size)
                         start = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + p.low[rep]
@@ -246,10 +340,13 @@ class Finder:
         own = self.classes(docs)
         rows = own.select("k", F.explode("cls").alias("c")).select("k", "c.a", "c.g", "c.n")
         cls = staged(rows.groupBy("a", "g").agg(F.sum("n").alias("n"), F.min("k").alias("k")), "repeats-buckets")
-        bucket = cls.groupBy("a").agg(F.count("*").alias("classes"), F.min("n").alias("least"))
-        open_ = bucket.filter("classes > 1 AND least = 1").select("a")
-        wanted = cls.join(open_, "a").select("k", "a", "g")
-        some = self.resolve(staged(self.windows(own, wanted), "repeats-windows"))
+        bucket = cls.groupBy("a").agg(F.count("*").alias("classes"), F.min("n").alias("least")).filter("classes > 1 AND least = 1").select("a", "classes")
+        bucket = staged(bucket, "repeats-open")
+        wanted = cls.join(bucket, "a").select("k", "a", "g", "classes")
+        some = self.solved(self.contexts(own, wanted.filter(F.col("classes") <= BUCKET).drop("classes")))
+        if not (large := bucket.filter(F.col("classes") > BUCKET)).isEmpty():
+            rows_of = staged(self.windows(own, cls.join(large, "a").select("k", "a", "g")), "repeats-windows")
+            some = some.unionAll(self.resolve(rows_of).select("a", "g", "first", "last"))
         full = cls.filter("n > 1").select("a", "g", F.lit(FULL).alias("first"), F.lit(FULL).alias("last"))
         found = staged(full.unionAll(some.join(full, ["a", "g"], "left_anti").select("a", "g", "first", "last")), "repeats-found")
         dropped(cls)

@@ -1,9 +1,9 @@
 """Exact substring dedup over bytes: suffix-array buckets refined by bucket identifiers of later offsets.
 
-Suffixes start in q-gram buckets. A bucket of one is final. Others are refined by the identifiers of the buckets at
-later (and, as a suffix is kept at its anchor, earlier) offsets: first by the identifier of all symbols that a window of
-the anchor can reach, then, where classes differ, by the identifier of each window. The identifier of a longer stretch is
-computed from those of its parts, so what one round names the next one reuses. See ``repeats`` for the passes.
+Suffixes start in q-gram buckets. A bucket of one is final. The suffixes of the others are refined in memory, bucket by
+bucket: the bucket identifier one symbol further out follows from sorting on the identifier so far and the next symbol, to
+the right (later offsets) and, as a suffix is kept at its anchor, to the left. A window's identifier is that of the pair of
+its left and right identifiers, so what one round names all later ones reuse. See ``repeats`` for the passes around it.
 
 Null texts are empty. Texts shorter than the window stay whole. Rows that repeat a text repeat each other and are removed
 in full. An empty table gives an empty result; extra columns are ignored. Very long texts are worked off in blocks.
@@ -25,18 +25,40 @@ LENGTH, GRAM = 400, 160
 _BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def symbols(text: str) -> np.ndarray:
-    return _BYTES[np.frombuffer(text.encode(), np.uint8)]
+def raw(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode(), np.uint8)
+
+
+def spread(x: np.ndarray) -> np.ndarray:
+    return _BYTES[x]
+
+
+def refined_in_memory(part, width: int):
+    """Windows that two classes of a bucket share, by offset."""
+
+    def outward(symbols: np.ndarray) -> list[np.ndarray]:
+        names = [part.bucket.astype(np.int64)]
+        for j in range(width - 1):
+            _, own = np.unique(names[-1] * 256 + symbols[:, j], return_inverse=True)
+            names.append(own)
+        return names
+
+    left, right = outward(part.left), outward(part.right)
+    size = len(part.bucket) + 1
+    for back in range(width):
+        own = np.flatnonzero(part.windows(back, width))
+        _, name, n = np.unique(left[back][own] * size + right[width - 1 - back][own], return_inverse=True, return_counts=True)
+        yield back, own[n[name] > 1]
 
 
 def refined(windows: DataFrame) -> DataFrame:
-    """Classes with a window that another class has too, and the first and last of these windows."""
+    """For buckets too large for memory: classes with a window that another class has too, and the first and last of these windows."""
     shared = windows.groupBy("w1", "w2").agg(F.min("g").alias("x"), F.max("g").alias("y")).filter("x <> y").select("w1", "w2")
     return windows.join(shared, ["w1", "w2"]).groupBy("a", "g").agg(F.min("at").alias("first"), F.max("at").alias("last"))
 
 
 def finder(length: int = LENGTH) -> Finder:
-    return Finder(Shape(length, max(1, length * GRAM // LENGTH)), symbols, refined)
+    return Finder(Shape(length, max(1, length * GRAM // LENGTH)), raw, spread, refined_in_memory, refined)
 
 
 def _rest(text: str, starts: np.ndarray, ends: np.ndarray) -> bytes:
