@@ -282,19 +282,20 @@ def encoded(docs: DataFrame, model: str, size: int = LEXICON_SIZE, keep_text: bo
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary" + ", decoded string" * keep_text)
 
 
-def digests(docs: DataFrame, model: str, size: int = LEXICON_SIZE) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: encodes and decodes every whole text."""
+def digests(docs: DataFrame, model: str, size: int = LEXICON_SIZE, keep_ids: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, if asked for, ``ids``: encodes and decodes every whole text."""
     name = lexicon(docs, model, size)
 
     def run(batches):
         c = coder(model, name)
         for batch in batches:
-            n, of_ids, of_text = [], [], []
+            n, of_ids, of_text, kept = [], [], [], []
             for text in batch.column(1):
                 ids = c.encode(text.as_py() or "")
                 n.append(len(ids) // 4)
+                kept += [ids] * keep_ids
                 of_ids.append(hashlib.sha256(ids).hexdigest())
                 of_text.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_text)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string()), *[pa.array(kept, pa.binary())] * keep_ids], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * keep_ids])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids)

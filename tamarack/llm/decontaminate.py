@@ -362,5 +362,5 @@ def _leaks(docs: DataFrame, rows: list[tuple], p: Params) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
     """The documents that hold no item. Rows without an id stay unless a row without one leaks."""
-    bad = staged(leaks(docs, benchmark, p).select(F.col("doc_id").alias("_id")).distinct(), "leaking")
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_anti")
+    bad = staged(leaks(docs, benchmark, p).select(F.col("doc_id").alias("__tk_id")).distinct(), "leaking")
+    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__tk_id")), "left_anti")

@@ -47,35 +47,35 @@ def scored(docs: DataFrame) -> DataFrame:
     an equal pair skip the sort.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    step = docs.withColumn("_t", F.btrim(text, F.lit(WS)))
-    step = step.withColumn("_w", F.when(F.col("_t") == "", F.array().cast("array<string>")).otherwise(F.split("_t", "[ \\x09-\\x0D]+")))
-    step = step.withColumn("_n", F.size("_w").cast("long"))
-    w = F.col("_w")
-    step = step.withColumn("_h", F.when(F.col("_n") > 2, F.transform(F.slice(w, 3, F.greatest(F.col("_n").cast("int") - 2, F.lit(1))), lambda x, i: F.xxhash64(F.get(w, i), F.get(w, i + 1), x))).otherwise(F.array().cast("array<bigint>")))
-    h = F.col("_h")
-    step = step.withColumn("_s", F.when(F.size(F.array_distinct(h)) < F.size(h), F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))))
-    s = F.col("_s")
-    step = step.withColumn("_p", F.array_sort(F.transform(F.filter(s, lambda x, i: (F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"])), lambda x: x["i"])))
+    step = docs.withColumn("__tk_t", F.btrim(text, F.lit(WS)))
+    step = step.withColumn("__tk_w", F.when(F.col("__tk_t") == "", F.array().cast("array<string>")).otherwise(F.split("__tk_t", "[ \\x09-\\x0D]+")))
+    step = step.withColumn("__tk_n", F.size("__tk_w").cast("long"))
+    w = F.col("__tk_w")
+    step = step.withColumn("__tk_h", F.when(F.col("__tk_n") > 2, F.transform(F.slice(w, 3, F.greatest(F.col("__tk_n").cast("int") - 2, F.lit(1))), lambda x, i: F.xxhash64(F.get(w, i), F.get(w, i + 1), x))).otherwise(F.array().cast("array<bigint>")))
+    h = F.col("__tk_h")
+    step = step.withColumn("__tk_s", F.when(F.size(F.array_distinct(h)) < F.size(h), F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))))
+    s = F.col("__tk_s")
+    step = step.withColumn("__tk_p", F.array_sort(F.transform(F.filter(s, lambda x, i: (F.get(s, i - 1)["h"] == x["h"]) | (F.get(s, i + 1)["h"] == x["h"])), lambda x: x["i"])))
     none = F.struct(F.lit(-3).alias("at"), F.lit(0).cast("long").alias("n"))
-    repeats = F.aggregate("_p", none, lambda a, p: F.struct(p.alias("at"), (a["n"] + F.least(F.lit(3), p - a["at"])).alias("n")), lambda a: a["n"])
-    step = step.withColumn("_l", F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\x09-\\x0D]")))
-    chars = F.length(F.translate("_t", WS, ""))
-    upper = F.length("_t") - F.length(F.translate("_t", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
-    step = step.withColumn("_c", F.struct(
-        F.col("_n").alias("n_words"), chars.cast("long").alias("word_chars"),
-        (F.length("_t") - F.length(F.translate("_t", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
+    repeats = F.aggregate("__tk_p", none, lambda a, p: F.struct(p.alias("at"), (a["n"] + F.least(F.lit(3), p - a["at"])).alias("n")), lambda a: a["n"])
+    step = step.withColumn("__tk_l", F.filter(F.split(text, "\n"), lambda x: x.rlike("[^ \\x09-\\x0D]")))
+    chars = F.length(F.translate("__tk_t", WS, ""))
+    upper = F.length("__tk_t") - F.length(F.translate("__tk_t", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
+    step = step.withColumn("__tk_c", F.struct(
+        F.col("__tk_n").alias("n_words"), chars.cast("long").alias("word_chars"),
+        (F.length("__tk_t") - F.length(F.translate("__tk_t", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+        (F.size("__tk_l") - F.size(F.array_distinct("__tk_l"))).cast("long").alias("n_dup_lines"),
         F.coalesce(repeats, F.lit(0)).cast("long").alias("n_repeat_words"),
-        F.size("_l").cast("long").alias("n_lines"), upper.cast("long").alias("n_upper"),
+        F.size("__tk_l").cast("long").alias("n_lines"), upper.cast("long").alias("n_upper"),
     ))
-    c = F.col("_c")
+    c = F.col("__tk_c")
     q = F.struct(
         *[c[k].alias(k) for k in BASE],
         _per(c["n_symbols"], c["word_chars"], 1000).alias("symbols"), _per(c["n_dup_lines"], c["n_lines"], 1000).alias("dup_lines"),
         _per(c["n_repeat_words"], c["n_words"], 1000).alias("repeats"), _per(c["word_chars"], c["n_words"], 100).alias("word_length"),
         _per(c["n_upper"], c["word_chars"], 1000).alias("upper"),
     )
-    return step.select(*[F.col(x) for x in docs.columns], q.alias("_q"))
+    return step.select(*[F.col(x) for x in docs.columns], q.alias("__tk_q"))
 
 
 def bucket(v: Column) -> Column:
@@ -86,7 +86,7 @@ def bucket(v: Column) -> Column:
 def limits(rows: DataFrame, rules: Rules) -> DataFrame:
     """``lang, source`` and the upper limit of each metric, from the sketches of all rows."""
     floors = dict(rules.floors)
-    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"_q.{m}").alias("v")) for m in floors]))
+    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"__tk_q.{m}").alias("v")) for m in floors]))
     sketch = rows.select("lang", "source", pairs.alias("x")).groupBy("lang", "source", F.col("x.metric").alias("metric"), bucket(F.col("x.v")).alias("b")).agg(F.count("*").alias("n"))
     sketch = staged(sketch, "quality-sketch")
     by_lang = sketch.groupBy("lang", "metric", "b").agg(F.sum("n").alias("n"))
@@ -109,31 +109,31 @@ def limits(rows: DataFrame, rules: Rules) -> DataFrame:
     return joined.groupBy("lang", "source").agg(*[F.max(F.when(F.col("metric") == m, upper)).alias(f"max_{m}") for m in floors])
 
 
-def judged(rows: DataFrame, rules: Rules = Rules()) -> DataFrame:
+def judged(rows: DataFrame, rules: Rules = Rules(), prefix: str = "") -> DataFrame:
     """Scored rows (a written table: they are read twice) with ``base_failed`` and ``kept``."""
     of = limits(rows, rules)
-    of = of.select(F.col("lang").alias("_jl"), F.col("source").alias("_js"), *[F.col(f"max_{m}") for m, _ in rules.floors])
-    out = rows.join(of, F.col("lang").eqNullSafe(F.col("_jl")) & F.col("source").eqNullSafe(F.col("_js")), "left")
-    q = lambda k: F.col(f"_q.{k}")
+    of = of.select(F.col("lang").alias("__tk_jl"), F.col("source").alias("__tk_js"), *[F.col(f"max_{m}").alias(f"__tk_max_{m}") for m, _ in rules.floors])
+    out = rows.join(of, F.col("lang").eqNullSafe(F.col("__tk_jl")) & F.col("source").eqNullSafe(F.col("__tk_js")), "left")
+    q = lambda k: F.col(f"__tk_q.{k}")
     base = (q("n_words") < rules.min_words) | (100 * q("n_repeat_words") > rules.max_repeat_pct * q("n_words"))
-    over = [F.coalesce(q(m) > F.col(f"max_{m}"), F.lit(False)) for m, _ in rules.floors]
+    over = [F.coalesce(q(m) > F.col(f"__tk_max_{m}"), F.lit(False)) for m, _ in rules.floors]
     bad = base
     for x in over:
         bad = bad | x
     reasons = F.filter(F.array(*[F.when(x, F.lit(m)) for x, (m, _) in zip(over, rules.floors, strict=True)]), lambda x: x.isNotNull())
-    return out.withColumns({"base_failed": base, "kept": ~bad, "reasons": reasons}).drop("_jl", "_js", *[f"max_{m}" for m, _ in rules.floors])
+    return out.withColumns({f"{prefix}base_failed": base, f"{prefix}kept": ~bad, f"{prefix}reasons": reasons}).drop("__tk_jl", "__tk_js", *[f"__tk_max_{m}" for m, _ in rules.floors])
 
 
 def query(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """One row per document: the base counts and the verdict."""
     rows = staged(scored(docs.select("doc_id", "text", "lang", "source")).drop("text"), "quality-scores")
-    return judged(rows, rules).select("doc_id", *[F.col(f"_q.{k}").alias(k) for k in BASE], "base_failed", "kept", *[F.col(f"_q.{m}").alias(m) for m, _ in rules.floors])
+    return judged(rows, rules).select("doc_id", *[F.col(f"__tk_q.{k}").alias(k) for k in BASE], "base_failed", "kept", *[F.col(f"__tk_q.{m}").alias(m) for m, _ in rules.floors])
 
 
 def filtered(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The documents that the rules keep, columns unchanged."""
     rows = staged(scored(docs), "quality-scored")
-    return judged(rows, rules).filter("kept").select(*[F.col(c) for c in docs.columns])
+    return judged(rows, rules, "__tk_").filter("__tk_kept").select(*[F.col(c) for c in docs.columns])
 
 
 def oracle(rules: Rules = Rules()) -> str:

@@ -182,10 +182,10 @@ def deduplicated(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataF
     linked to them; of rows that repeat an id, one stays."""
     groups = staged(grouped(docs, words, bits), "simhash-groups")
     keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n"))
-    keep = staged(keep.select(F.col("doc_id").alias("_id"), "n"), "simhash-keep")
-    rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")))
-    once = rows.filter("n = 1 OR doc_id IS NULL")
-    if not keep.filter("n > 1 AND _id IS NOT NULL").isEmpty():
-        once = once.unionAll(rows.filter("n > 1 AND doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+    keep = staged(keep.select(F.col("doc_id").alias("__tk_id"), F.col("n").alias("__tk_n")), "simhash-keep")
+    rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__tk_id")))
+    once = rows.filter("__tk_n = 1 OR doc_id IS NULL")
+    if not keep.filter("__tk_n > 1 AND __tk_id IS NOT NULL").isEmpty():
+        once = once.unionAll(rows.filter("__tk_n > 1 AND doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
     dropped(groups)
     return once.select(*[F.col(c) for c in docs.columns])

@@ -90,9 +90,9 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return (_rest(text, starts, ends).decode("utf-8", "ignore") if len(starts) else None,)
 
     found = finder(length).cut(own, finish, "rest string", [pa.string()])
-    found = staged(found, "suffix-texts").filter("rest IS NOT NULL").dropDuplicates(["doc_id", "k"]).withColumnsRenamed({"doc_id": "_id", "k": "_k", "rest": "_rest"})
+    found = staged(found, "suffix-texts").filter("rest IS NOT NULL").dropDuplicates(["doc_id", "k"]).withColumnsRenamed({"doc_id": "__tk_id", "k": "__tk_k", "rest": "__tk_rest"})
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), text, F.lit(8)))
-    out = rows.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")), "left")
-    new = {"text": F.coalesce("_rest", "text")} | ({"n_chars": F.when(F.col("_rest").isNull(), F.col("n_chars")).otherwise(F.length("_rest").cast(docs.schema["n_chars"].dataType))} if "n_chars" in docs.columns else {})
+    rows = docs.withColumn("__tk_key", F.xxhash64(F.col("doc_id").cast("long"), text, F.lit(8)))
+    out = rows.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__tk_id")) & (F.col("__tk_key") == F.col("__tk_k")), "left")
+    new = {"text": F.coalesce("__tk_rest", "text")} | ({"n_chars": F.when(F.col("__tk_rest").isNull(), F.col("n_chars")).otherwise(F.length("__tk_rest").cast(docs.schema["n_chars"].dataType))} if "n_chars" in docs.columns else {})
     return out.select(*[new.get(c, F.col(c)).alias(c) for c in docs.columns])
