@@ -1,10 +1,11 @@
 """Exact substring dedup over words: suffix trees partitioned by variable-length prefixes.
 
-Suffixes are first split by a prefix (the q-gram at their anchor); prefixes with one suffix cannot hold a repeat. The
-suffixes of the others start at each window and are grouped by a prefix of four words, which is lengthened to 8, 16, 24
-and 32 words where a group would exceed ``GROUP`` suffixes. A group's suffixes, sorted by their path, form a subtree: the
+Suffixes are split by their prefix at an anchor, the q-gram that owns their window; prefixes with one suffix cannot hold a
+repeat. The suffixes of a prefix fit in memory: for each distance before the anchor, sorted by their paths they form a subtree, and the
 depth that neighbours share is that of the inner node between them. Inner nodes of 35 words and more are the repeats.
-A node with very many leaves is read as a stream: only its first leaf is held until a second one shows the repeat.
+Prefixes with too many suffixes are split further: each window is then a suffix of its own, grouped by its first four words, which
+are lengthened to 8, 16, 24 and 32 words where a group would exceed ``GROUP`` suffixes. A node with very many leaves is read as a
+stream: only its first leaf is held until a second one shows the repeat.
 
 Null texts have no words. Texts with fewer words than a window stay whole. Rows that repeat a text repeat each other and
 are removed in full. An empty table gives an empty result; extra columns are ignored. Long texts are worked off in blocks.
@@ -20,30 +21,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.llm.common import WS, staged
-from tamarack.llm.repeats import Finder, Shape, Sums, keyed
+from tamarack.llm.repeats import Finder, Shape, Sums, keyed, mixed
 
 LENGTH, GRAM = 35, 10
 DEPTHS = (4, 8, 16, 24, 32)
 GROUP = 1_000_000
-CACHE = 400_000
+STRETCH = 1 << 20
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SPACE = np.isin(np.arange(256), list(WS.encode()))
 
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = out = xxhash.xxh64_intdigest(word, 7)
-        return out
 
+def raw(text: str) -> np.ndarray:
+    """A fingerprint of each word."""
+    line = text.encode()
+    if len(line) > STRETCH:  # word by word, as the sums below take many times the text's memory
+        own = line.split()
+        return np.concatenate([_hashed(b" ".join(own[k : k + 4096])) if sum(map(len, own[k : k + 4096])) < STRETCH else np.concatenate([_hashed(w) for w in own[k : k + 4096]]) for k in range(0, len(own), 4096)] or [np.zeros(0, np.uint64)])
+    return _hashed(line)
 
-_words = _Words()
 
+def _hashed(line: bytes) -> np.ndarray:
+    x = np.frombuffer(line, np.uint8)
+    edge = np.flatnonzero(np.diff(_SPACE[x], prepend=True, append=True))
+    return Sums(_BYTES[x]).of(edge[::2], edge[1::2])
 
-def symbols(text: str) -> np.ndarray:
-    own = text.encode().split()
-    return np.fromiter(map(_words.__getitem__, own), np.uint64, len(own))
+
+def spread(x: np.ndarray) -> np.ndarray:
+    return x
+
+
+def subtrees_in_memory(part, width: int):
+    """Leaves under deep inner nodes, by offset. A path is read in three steps: up to the anchor, and two of what follows."""
+
+    def walked(symbols: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(symbols), width), np.uint64)
+        x = part.bucket.astype(np.uint64)
+        for j in range(width - 1):
+            out[:, j] = x
+            x = mixed(x * np.uint64(0x9E3779B97F4A7C15) + symbols[:, j])
+        out[:, width - 1] = x
+        return out
+
+    left, right = walked(part.left), walked(part.right)
+    for back in range(width):
+        own = np.flatnonzero(part.windows(back, width))
+        if len(own) < 2:
+            continue
+        rest = width - 1 - back
+        steps = (left[own, back], right[own, rest // 2], right[own, rest])
+        order = np.lexsort(steps[::-1])
+        shared = np.logical_and.reduce([x[order][1:] == x[order][:-1] for x in steps])  # the inner node is deep
+        yield back, own[order[np.concatenate([[False], shared]) | np.concatenate([shared, [False]])]]
 
 
 def _paths(sums: Sums, start: np.ndarray, end: np.ndarray) -> list[pa.Array]:
@@ -94,7 +124,7 @@ def subtrees(windows: DataFrame) -> DataFrame:
 
 
 def finder(length: int = LENGTH) -> Finder:
-    return Finder(Shape(length, max(1, length * GRAM // LENGTH)), symbols, subtrees, _paths)
+    return Finder(Shape(length, max(1, length * GRAM // LENGTH)), raw, spread, subtrees_in_memory, subtrees, _paths)
 
 
 def _rest(text: str, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
