@@ -24,6 +24,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ MAGIC = b"TMRANS1\0"
 SCALE, LANES, STEPS = 18, 256, 512
 SEGMENT = 1 << 21
 END = 1
-CACHE_WORDS = 700_000
+CACHE_WORDS = 1_100_000
 PART_BYTES = 16 << 20
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
@@ -182,11 +183,12 @@ class Segment:
         return np.concatenate(out) if out else np.zeros(0, np.uint32)
 
 
-class Words(dict):
-    """Word between white space -> its ids, from the tokenizers library; a mark after Latin letters is its own piece."""
+class Words:
+    """Encodes texts with the tokenizers library, which the words between white space do not leave: what a word gives is kept. New
+    Latin words of a text go to the library in one call, as their last tokens show where each ends; a mark after letters is a
+    piece of its own."""
 
-    LATIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
-    MARKS = frozenset(".,;:!?")
+    LATIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]?)")
     WHOLE = re.compile(r"[\x1c-\x1f]|<\|")
 
     def __init__(self, model: str):
@@ -196,24 +198,48 @@ class Words(dict):
         self.library = Tokenizer.from_file(model)
         self.library.no_padding()
         self.library.no_truncation()
+        vocab = self.library.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.marks = {m: self.plain(m) for m in ".,;:!?"} | {"": b""}
+        self.known: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> bytes:
-        if word[-1] in self.MARKS and self.LATIN.fullmatch(letters := word[:-1]):
-            ids = self[letters] + self[word[-1]]
-        elif not word.islower() and word.isascii() and word.isalpha():
-            ids = self[word.lower()]  # the model is lower case
-        else:
-            ids = np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) < 100:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
+    def plain(self, text: str) -> bytes:
+        return array("I", self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
     def encode(self, text: str) -> bytes:
         if self.WHOLE.search(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, text.split()))
+            return self.plain(text)
+        own = text.split()
+        new = set(own).difference(self.known)
+        if new:
+            if len(self.known) + len(new) > CACHE_WORDS:
+                self.known.clear()
+                new = set(own)
+            self._learn(new)
+        return b"".join(map(self.known.__getitem__, own))
+
+    def _learn(self, new: set[str]) -> None:
+        known, match = self.known, self.LATIN.fullmatch
+        parts, todo = [], {}
+        for w in new:
+            if m := match(w):
+                low = m[1].lower()
+                parts.append((w, low, m[2]))
+                if low not in known:
+                    todo[low] = None
+            else:
+                known[w] = self.plain(w)
+        if todo:
+            ids = np.array(self.library.encode_batch_fast([" ".join(todo)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+            raw = ids.tobytes()
+            if len(ends) == len(todo):
+                known.update(zip(todo, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+            else:
+                known.update((w, self.plain(w)) for w in todo)
+        for w, low, mark in parts:
+            known[w] = known[low] + self.marks[mark]
 
 
 _words: dict[str, Words] = {}
