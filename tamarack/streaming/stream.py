@@ -14,19 +14,24 @@ def files(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parq
     return spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", per_trigger).load(path)
 
 
+def _timed(df: DataFrame, time: str) -> DataFrame:
+    """Watermarks need a time with a zone."""
+    return df.withColumn(time, F.col(time).cast("timestamp"))
+
+
 def deduplicated(df: DataFrame, keys: list[str], time: str, delay: str = "1 hour") -> DataFrame:
     """The first row of a key within the watermark; state older than that goes."""
-    return df.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+    return _timed(df, time).withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def tumbling(df: DataFrame, time: str, keys: list[str], value: str, size: str = "1 hour", slide: str | None = None, delay: str = "1 hour") -> DataFrame:
     window = F.window(time, size, slide) if slide else F.window(time, size)
-    g = df.withWatermark(time, delay).groupBy(window.alias("w"), *keys).agg(F.count("*").alias("n"), F.round(F.sum(value), 4).alias("total"))
+    g = _timed(df, time).withWatermark(time, delay).groupBy(window.alias("w"), *keys).agg(F.count("*").alias("n"), F.round(F.sum(value), 4).alias("total"))
     return g.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *keys, "n", "total")
 
 
 def sessions(df: DataFrame, time: str, keys: list[str], gap: str = "30 minutes", delay: str = "1 hour") -> DataFrame:
-    g = df.withWatermark(time, delay).groupBy(F.session_window(time, gap).alias("w"), *keys).agg(F.count("*").alias("n"))
+    g = _timed(df, time).withWatermark(time, delay).groupBy(F.session_window(time, gap).alias("w"), *keys).agg(F.count("*").alias("n"))
     return g.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), *keys, "n")
 
 
