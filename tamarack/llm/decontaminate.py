@@ -21,6 +21,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +39,9 @@ _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 
 @dataclass(frozen=True)
 class Params:
-    rank: int = 128
+    rank: int = 64
     over: int = 16
-    cosine: float = 0.2
+    cosine: float = 0.05
     common: float = 0.05  # words in more of the documents weigh nothing, unless all of an item's words are common
     lcs: float = 0.8
     paraphrase: float = 0.6
@@ -57,26 +58,26 @@ def tokens(text: str) -> list[str]:
     return [w for w in map(plain, text.lower().split()) if w]
 
 
-class Vocabulary(dict):
-    """Raw word -> number of its plain form; -1 for other words, -2 for words of marks only."""
+class Vocabulary:
+    """Numbers of words: -1 for others; words of marks only do not count. Raw forms of vocabulary words are kept as they come up."""
 
     def __init__(self, words: list[str]):
         self.own = {w: k for k, w in enumerate(words)}
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= 700_000:
-            self.clear()
-        if word.isalnum():
-            out = self.own.get(word, -1)
-        else:
-            w = _EDGE.sub("", word)
-            out = self.own.get(w, -1) if w else -2
-        self[word] = out
-        return out
+        self.seen = dict(self.own)
 
     def read(self, text: str | None) -> np.ndarray:
         raw = (text or "").lower().split()
-        ids = np.fromiter(map(self.__getitem__, raw), np.int32, len(raw))
+        ids = np.fromiter(map(self.seen.get, raw, repeat(-3)), np.int32, len(raw))
+        for i in np.flatnonzero(ids == -3).tolist():
+            if raw[i].isalnum():
+                ids[i] = -1
+            else:
+                w = _EDGE.sub("", raw[i])
+                ids[i] = k = self.own.get(w, -1) if w else -2
+                if k >= 0:
+                    if len(self.seen) > 400_000 + len(self.own):
+                        self.seen = dict(self.own)
+                    self.seen[raw[i]] = k
         return ids[ids > -2]
 
 
@@ -249,6 +250,13 @@ def _basis(read: DataFrame, idf: np.ndarray, p: Params) -> np.ndarray:
     return u[:, : p.rank].astype(np.float32)
 
 
+def _postings(items: list[Item], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each word the items of a group whose piece has it: where they begin, and their places."""
+    pairs = np.unique(np.concatenate([x.piece.astype(np.int64) * len(items) + k for k, x in enumerate(items)]))
+    word, item = pairs // len(items), pairs % len(items)
+    return np.searchsorted(word, np.arange(size + 1)), item
+
+
 class Search:
     """Finds the items of a block in one document."""
 
@@ -262,7 +270,7 @@ class Search:
             if own:
                 v = np.stack([self.low[x.piece].sum(axis=0) for x in own])
                 mass = np.array([self.idf[np.unique(x.piece)].sum() for x in own])
-                self.groups.append((width, own, v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12), mass, [set(x.piece.tolist()) for x in own]))
+                self.groups.append((width, own, v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12), mass, _postings(own, len(idf))))
 
     def found(self, ids: np.ndarray) -> dict[int, tuple[float, float]]:
         """item id -> best (share of the item, share of its answer)."""
@@ -298,20 +306,34 @@ class Search:
             begin = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
             low[block[begin] + 1] = np.add.reduceat(self.low[ids[at]], begin, axis=0)
         np.cumsum(low, axis=0, out=low)
-        for (_, items, vectors, mass, sets), (start, end) in zip(self.groups, passed, strict=True):
+        for (_, items, vectors, mass, postings), (start, end) in zip(self.groups, passed, strict=True):
             v = low[place[end]] - low[place[start]]
             v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-            for w, i in zip(*np.nonzero(v @ vectors.T >= self.p.cosine), strict=True):
+            window, item = np.nonzero(v @ vectors.T >= self.p.cosine)
+            if not len(window):
+                continue
+            used, row = np.unique(window, return_inverse=True)
+            shared = self._shared(ids, weight, start[used] * STEP, end[used] * STEP, postings, len(items))
+            near = shared[row, item] >= self.p.paraphrase * mass[item]
+            for w, i in zip(window[near].tolist(), item[near].tolist(), strict=True):
                 a, b = int(start[w]) * STEP, int(end[w]) * STEP
-                width = b - a
-                self._checked(items[i], sets[i], mass[i], ids[a:b], ids[max(0, a - width) : b + width], out)
-
-    def _checked(self, item: Item, words: set, mass: float, window: np.ndarray, around: np.ndarray, out: dict) -> None:
+                self._checked(items[i], ids[max(0, 2 * a - b) : 2 * b - a], out)
+
+    def _shared(self, ids: np.ndarray, weight: np.ndarray, begin: np.ndarray, end: np.ndarray, postings: tuple, n_items: int) -> np.ndarray:
+        """(windows, items): the weight of the distinct words that both have."""
+        at = begin[:, None] + np.arange(int((end - begin).max()))
+        at = np.minimum(at, len(ids) - 1)
+        row, col = np.nonzero((weight[at] > 0) & (at < end[:, None]))
+        key = np.unique(row * len(self.idf) + ids[at[row, col]])
+        row, word = key // len(self.idf), key % len(self.idf)
+        first, items = postings
+        n = first[word + 1] - first[word]
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[word], n)
+        return np.bincount(np.repeat(row, n) * n_items + items[place], np.repeat(self.idf[word], n), len(begin) * n_items).reshape(len(begin), n_items)
+
+    def _checked(self, item: Item, around: np.ndarray, out: dict) -> None:
         if out.get(item.item_id, (0.0, 0.0))[0] == 1.0:
             return
-        both = words.intersection(window.tolist())
-        if self.idf[list(both)].sum() < self.p.paraphrase * mass:
-            return
         share = lcs(item.ids, around) / len(item.ids)
         if share < self.p.paraphrase:
             return
