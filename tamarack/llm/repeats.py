@@ -335,7 +335,8 @@ class Finder:
 
     def cut(self, docs: DataFrame, finish: Callable[[str, np.ndarray, np.ndarray], tuple], kinds: str, types: list[pa.DataType]) -> DataFrame:
         """``doc_id, k`` and the columns ``kinds`` that ``finish`` makes of a text and the covered spans (ascending, apart), for
-        each document that shares a q-gram at an anchor; other documents have no repeated window."""
+        each document that shares a q-gram at an anchor; other documents have no repeated window. A written table; the tables on the way
+        to it are deleted."""
         shape, symbols = self.shape, self.symbols
         own = self.classes(docs)
         rows = own.select("k", F.explode("cls").alias("c")).select("k", "c.a", "c.g", "c.n")
@@ -386,4 +387,6 @@ class Finder:
             new = np.concatenate([[True], low[1:] > reach[:-1]])
             return low[new], np.concatenate([reach[:-1][new[1:]], reach[-1:]])
 
-        return own.join(mine, "k").select("doc_id", "k", "text", "got").mapInArrow(run, f"doc_id long, k long, {kinds}")
+        out = staged(own.join(mine, "k").select("doc_id", "k", "text", "got").mapInArrow(run, f"doc_id long, k long, {kinds}"), "repeats-cut")
+        dropped(own, found, bucket)
+        return out

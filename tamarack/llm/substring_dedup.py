@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.llm.common import WS, staged
+from tamarack.llm.common import WS
 from tamarack.llm.repeats import Finder, Shape, Sums, keyed, mixed
 
 LENGTH, GRAM = 35, 10
@@ -140,7 +140,7 @@ def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return int((ends - starts).sum()), hashlib.sha256(b" ".join(_rest(text, starts, ends))).hexdigest()
 
     found = finder(length).cut(own, finish, "n_removed long, sha string", [pa.int64(), pa.string()])
-    found = staged(found, "substring-spans").filter("n_removed > 0").dropDuplicates(["doc_id", "k"]).withColumnsRenamed({"doc_id": "_id", "k": "_k"})
+    found = found.filter("n_removed > 0").dropDuplicates(["doc_id", "k"]).withColumnsRenamed({"doc_id": "_id", "k": "_k"})
     line = F.regexp_replace(F.btrim("text", F.lit(WS)), "[ \\x09-\\x0D]+", " ")
     base = own.select("doc_id", "k", line.alias("line")).select("doc_id", "k", F.when(F.col("line") == "", 0).otherwise(1 + F.length("line") - F.length(F.replace("line", F.lit(" ")))).cast("long").alias("n_words"), F.sha2(F.col("line").cast("binary"), 256).alias("whole"))
     out = base.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("k") == F.col("_k")), "left")
@@ -151,6 +151,6 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``doc_id, text``: the kept words, joined by one space."""
     own = keyed(docs)
     found = finder(length).cut(own, lambda t, s, e: (b" ".join(_rest(t, s, e)).decode() if len(s) else None,), "rest string", [pa.string()])
-    found = staged(found, "substring-texts").filter("rest IS NOT NULL").dropDuplicates(["doc_id", "k"]).withColumnsRenamed({"doc_id": "_id", "k": "_k"})
+    found = found.filter("rest IS NOT NULL").dropDuplicates(["doc_id", "k"]).withColumnsRenamed({"doc_id": "_id", "k": "_k"})
     out = own.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("k") == F.col("_k")), "left")
     return out.select("doc_id", F.coalesce("rest", F.regexp_replace(F.btrim("text", F.lit(WS)), "[ \\x09-\\x0D]+", " ")).alias("text"))

@@ -18,7 +18,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.llm.common import staged
 from tamarack.llm.repeats import Finder, Shape, keyed, mixed
 
 LENGTH, GRAM = 400, 160
@@ -74,7 +73,7 @@ def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return int((ends - starts).sum()), len(starts), hashlib.sha256(_rest(text, starts, ends)).hexdigest()
 
     found = finder(length).cut(own, finish, "n_removed long, n_spans long, sha string", [pa.int64(), pa.int64(), pa.string()])
-    found = staged(found, "suffix-spans").filter("n_spans > 0").dropDuplicates(["doc_id", "k"]).withColumnsRenamed({"doc_id": "_id", "k": "_k"})
+    found = found.filter("n_spans > 0").dropDuplicates(["doc_id", "k"]).withColumnsRenamed({"doc_id": "_id", "k": "_k"})
     base = own.select("doc_id", "k", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("whole"))
     out = base.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("k") == F.col("_k")), "left")
     none = F.lit(0).cast("long")
@@ -90,7 +89,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return (_rest(text, starts, ends).decode("utf-8", "ignore") if len(starts) else None,)
 
     found = finder(length).cut(own, finish, "rest string", [pa.string()])
-    found = staged(found, "suffix-texts").filter("rest IS NOT NULL").dropDuplicates(["doc_id", "k"]).withColumnsRenamed({"doc_id": "__tk_id", "k": "__tk_k", "rest": "__tk_rest"})
+    found = found.filter("rest IS NOT NULL").dropDuplicates(["doc_id", "k"]).withColumnsRenamed({"doc_id": "__tk_id", "k": "__tk_k", "rest": "__tk_rest"})
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.withColumn("__tk_key", F.xxhash64(F.col("doc_id").cast("long"), text, F.lit(8)))
     out = rows.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__tk_id")) & (F.col("__tk_key") == F.col("__tk_k")), "left")
