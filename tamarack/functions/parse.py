@@ -16,11 +16,11 @@ def _found(c: Column, pattern: str, group: int = 1) -> Column:
 
 
 def clean_text(c: Column) -> Column:
-    return collapse(F.regexp_replace(F.regexp_replace(c, "﻿", ""), " ", " "))
+    return collapse(F.regexp_replace(F.regexp_replace(c, "\ufeff", ""), "\u00a0", " "))
 
 
 def clean_cell(c: Column) -> Column:
-    return F.regexp_replace(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), "﻿", "")), '^"|"$', "")
+    return F.regexp_replace(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), "\ufeff", "")), '^"|"$', "")
 
 
 def norm_url(c: Column) -> Column:

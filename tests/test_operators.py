@@ -124,10 +124,10 @@ def test_pipeline_and_sinks(spark, tmp_path):
 
 
 def test_csv_sources(spark, tmp_path):
-    (tmp_path / "k.csv").write_text("﻿STT;province;Key_word\n1;;ăn ở Hà Nội\n2;Huế;a;b\n", encoding="utf-8")
+    (tmp_path / "k.csv").write_text("\ufeffSTT;province;Key_word\n1;;ăn ở Hà Nội\n2;Huế;a;b\n", encoding="utf-8")
     got = {r["keyword"]: (r["province"], r["category"]) for r in readers.keyword_csv(spark, f"file://{tmp_path}/k.csv", ["Hà Nội", "Nội"]).collect()}
     assert got == {"ăn ở Hà Nội": ("Hà Nội", "travel"), "a;b": ("Huế", "travel")}
-    (tmp_path / "r.csv").write_text("﻿origin,destination,url,transport_type\nA,B,u,Flight\nA,,u,bus\nC,D,v,boat\n", encoding="utf-8")
+    (tmp_path / "r.csv").write_text("\ufefforigin,destination,url,transport_type\nA,B,u,Flight\nA,,u,bus\nC,D,v,boat\n", encoding="utf-8")
     assert [(r["origin"], r["transport_type"]) for r in readers.routes(spark, f"file://{tmp_path}/r.csv").collect()] == [("A", "flight"), ("C", "bus")]
     (tmp_path / "p.yaml").write_text("provinces:\n  - name: Da Nang\n    code: DN\n", encoding="utf-8")
     assert readers.lookup(spark, f"file://{tmp_path}/p.yaml", "provinces", "name string, code string").first()["code"] == "DN"
