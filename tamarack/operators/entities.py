@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tamarack.config import NAME_PREFIXES
+from tamarack.session import pinned
 
 
 def first_by(df: DataFrame, keys: list[Column | str], *order: Column | str) -> DataFrame:
@@ -125,7 +126,7 @@ def combined(df: DataFrame) -> DataFrame:
 
 def numbered(df: DataFrame, *order: Column | str, name: str = "n") -> DataFrame:
     """Rows numbered from 1 in a total order, without one task for all: sorted ranges are counted, then numbered apart."""
-    rows = df.orderBy(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id())
+    rows = pinned(df.orderBy(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id()))
     sizes = rows.groupBy("_p").agg(F.count("*").alias("_size"))
     start = sizes.select(F.col("_p").alias("_q"), (F.sum("_size").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("_size")).alias("_before"))  # a row for each range
     at = F.col("_i").bitwiseAND((1 << 33) - 1)

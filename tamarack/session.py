@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "tamarack", master: str | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -24,3 +24,12 @@ def session(app: str = "tamarack", master: str | None = None, shuffle_partitions
     for k, v in {**own, **conf}.items():
         b = b.config(k, v)
     return b.getOrCreate()
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """``df`` as a checkpoint in the shared folder of ``spark.checkpoint.dir``; where that is unset, as in tests, in the warehouse. For
+    columns that another evaluation could give other values, such as partition numbers."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints")
+    return df.checkpoint()
