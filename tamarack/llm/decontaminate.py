@@ -214,14 +214,26 @@ def _basis(read: DataFrame, idf: np.ndarray, p: Params) -> np.ndarray:
             first = np.concatenate([[0], np.flatnonzero(np.diff(word[order])) + 1])
             z[word[order][first]] += np.add.reduceat(low[row[order]] * value[order, None], first, axis=0)
 
+        def take(texts):
+            nonlocal held, n
+            for entry in _passages(np.concatenate(texts), weights, WIDTHS[1]):
+                held.append(entry)
+                n += len(entry[1])
+                if n > 100_000:
+                    added()
+                    held, n = [], 0
+
         for batch in batches:
+            texts, length = [], 0
             for raw in batch.column(0):
-                for entry in _passages(numbers(raw), weights, WIDTHS[1]):
-                    held.append(entry)
-                    n += len(entry[1])
-                    if n > 100_000:
-                        added()
-                        held, n = [], 0
+                ids = numbers(raw)
+                texts += [ids, np.full(-len(ids) % WIDTHS[1], -1, np.int32)]  # each text begins a passage of its own
+                length += len(ids)
+                if length > STRETCH:
+                    take(texts)
+                    texts, length = [], 0
+            if texts:
+                take(texts)
         added()
         for b in range(0, size, rows_of):
             yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([z[b : b + rows_of].tobytes()], pa.binary())], names=["b", "z"])
@@ -272,29 +284,42 @@ class Search:
                 mass = np.array([self.idf[np.unique(x.piece)].sum() for x in own])
                 self.groups.append((width, own, v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12), mass, _postings(own, len(idf))))
 
-    def found(self, ids: np.ndarray) -> dict[int, tuple[float, float]]:
-        """item id -> best (share of the item, share of its answer)."""
-        out: dict[int, tuple[float, float]] = {}
-        for x in range(0, max(1, len(ids)), STRETCH):
-            part = ids[max(0, x - WIDTHS[-1]) : x + STRETCH]
-            if len(part):
-                self._stretch(part, out)
+    def found(self, texts: list[np.ndarray]) -> list[dict[int, tuple[float, float]]]:
+        """For each document: item id -> best (share of the item, share of its answer). Short documents are worked off together."""
+        out: list[dict] = [{} for _ in texts]
+        held, size = [], 0
+        for ids, own in zip(texts, out, strict=True):
+            for x in range(0, len(ids), STRETCH):
+                held.append((ids[max(0, x - WIDTHS[-1]) : x + STRETCH], own))
+                size += len(held[-1][0])
+                if size >= STRETCH:
+                    self._stretch(held)
+                    held, size = [], 0
+        if held:
+            self._stretch(held)
         return out
 
-    def _stretch(self, ids: np.ndarray, out: dict) -> None:
-        blocks = -(-len(ids) // STEP)
+    def _stretch(self, held: list[tuple[np.ndarray, dict]]) -> None:
+        # each text begins at a block of its own; what fills its last block weighs nothing
+        n_blocks = np.array([-(-len(ids) // STEP) for ids, _ in held])
+        first = np.cumsum(n_blocks) - n_blocks
+        blocks = int(n_blocks.sum())
+        ids = np.full(blocks * STEP, -1, np.int32)
+        for (own, _), b in zip(held, first.tolist(), strict=True):
+            ids[b * STEP : b * STEP + len(own)] = own
         weight = self.idf[ids]
-        sums = np.concatenate([[0.0], np.cumsum(np.add.reduceat(weight, np.arange(0, len(ids), STEP)))])
+        sums = np.concatenate([[0.0], np.cumsum(weight.reshape(-1, STEP).sum(axis=1))])
         passed, needed = [], np.zeros(blocks + 1, np.int32)
         for width, _, _, mass, _ in self.groups:
             n = width // STEP
-            start = np.arange(0, max(1, blocks - n + n // 3), n // 3)
-            end = np.minimum(start + n, blocks)
-            keep = sums[end] - sums[start] >= self.p.paraphrase * mass.min()
-            start, end = start[keep], end[keep]
-            passed.append((start, end))
-            np.add.at(needed, start, 1)
-            np.add.at(needed, end, -1)
+            count = -(-np.maximum(1, n_blocks - n + n // 3) // (n // 3))
+            text = np.repeat(np.arange(len(held)), count)
+            start = first[text] + (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * (n // 3)
+            end = np.minimum(start + n, (first + n_blocks)[text])
+            keep = sums[end] - sums[start] >= self.p.paraphrase * mass.min() - 1e-9
+            passed.append((start[keep], end[keep], text[keep]))
+            np.add.at(needed, start[keep], 1)
+            np.add.at(needed, end[keep], -1)
         needed = np.cumsum(needed[:-1]) > 0
         if not needed.any():
             return
@@ -306,7 +331,7 @@ class Search:
             begin = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
             low[block[begin] + 1] = np.add.reduceat(self.low[ids[at]], begin, axis=0)
         np.cumsum(low, axis=0, out=low)
-        for (_, items, vectors, mass, postings), (start, end) in zip(self.groups, passed, strict=True):
+        for (_, items, vectors, mass, postings), (start, end, text) in zip(self.groups, passed, strict=True):
             v = low[place[end]] - low[place[start]]
             v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
             window, item = np.nonzero(v @ vectors.T >= self.p.cosine)
@@ -317,7 +342,9 @@ class Search:
             near = shared[row, item] >= self.p.paraphrase * mass[item]
             for w, i in zip(window[near].tolist(), item[near].tolist(), strict=True):
                 a, b = int(start[w]) * STEP, int(end[w]) * STEP
-                self._checked(items[i], ids[max(0, 2 * a - b) : 2 * b - a], out)
+                t = int(text[w])
+                low_end, high_end = int(first[t]) * STEP, int(first[t] + n_blocks[t]) * STEP
+                self._checked(items[i], ids[max(low_end, 2 * a - b) : min(high_end, 2 * b - a)], held[t][1])
 
     def _shared(self, ids: np.ndarray, weight: np.ndarray, begin: np.ndarray, end: np.ndarray, postings: tuple, n_items: int) -> np.ndarray:
         """(windows, items): the weight of the distinct words that both have."""
@@ -374,7 +401,8 @@ def _leaks(docs: DataFrame, rows: list[tuple], p: Params) -> DataFrame:
     def run(batches):
         search = _once(("s", tag), lambda: Search(*shared.value, p))
         for batch in batches:
-            got = [(d, *x) for d, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) for x in ((i, *s) for i, s in search.found(numbers(t)).items())]
+            texts = [numbers(t) for t in batch.column(1)]
+            got = [(d, i, *s) for d, own in zip(batch.column(0).to_pylist(), search.found(texts), strict=True) for i, s in own.items()]
             if got:
                 d, i, s, a = zip(*got, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(i, pa.int64()), pa.array(s, pa.float64()), pa.array(a, pa.float64())], names=["doc_id", "item_id", "lcs_share", "answer_share"])
