@@ -223,13 +223,17 @@ class Words:
         known, match = self.known, self.LATIN.fullmatch
         parts, todo = [], {}
         for w in new:
-            if m := match(w):
-                low = m[1].lower()
-                parts.append((w, low, m[2]))
-                if low not in known:
-                    todo[low] = None
+            if w.isascii() and w.isalpha():
+                low, mark = w.lower(), ""
+            elif m := match(w):
+                low, mark = m[1].lower(), m[2]
             else:
                 known[w] = self.plain(w)
+                continue
+            if mark or low != w:
+                parts.append((w, low, mark))
+            if low not in known:
+                todo[low] = None
         if todo:
             ids = np.array(self.library.encode_batch_fast([" ".join(todo)], add_special_tokens=False)[0].ids, "<u4")
             ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
