@@ -15,6 +15,7 @@ from tamarack.config import AspectConfig, PipelineConfig, QualityConfig, TextCon
 from tamarack.functions import parse, text
 from tamarack.operators import absa, aspects, gold, metrics, quality, scoring
 from tamarack.plans import pipeline
+from tamarack.session import spread
 
 TEXT = TextConfig(nfc=False, connectors=("and", "und", "et", "y", "que", ";", ":"))
 KEYWORDS = {"food": "the|of|er", "service": "and|was|la", "price": "for|que|der", "location": "to|in|die"}
@@ -52,7 +53,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"))
     ratings = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_d"), F.when(F.col("toxic") == 1, 1.0).when(F.col("quality") == 1, 5.0).otherwise(3.0).alias("rating"))
     rows = d.join(ratings, d["doc_id"] == ratings["_d"], "left")
     return rows.select("source", F.col("doc_id").cast("string").alias("comment_id"), F.col("lang").alias("place_id"), F.col("lang").alias("place_name"), F.col("text").alias("raw_text"), "rating", F.lit("").alias("collected_at"), F.to_json(F.struct("lang")).alias("meta"))

@@ -33,3 +33,10 @@ def pinned(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints")
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than there are cores is dealt to all of them, as the text work behind it costs far more than its few bytes.
+    A table of more splits, any large one, is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
