@@ -133,3 +133,14 @@ def test_csv_sources(spark, tmp_path):
     assert readers.lookup(spark, f"file://{tmp_path}/p.yaml", "provinces", "name string, code string").first()["code"] == "DN"
     (tmp_path / "x.jsonl").write_text('{"a": 1}\n\nbad\n{"a": 2}\n')
     assert readers.json_lines(spark, f"file://{tmp_path}/x.jsonl", struct("ml_absa").add("a", __import__("pyspark").sql.types.IntegerType())).count() == 2
+
+
+def test_ner_dataset(spark):
+    import re
+
+    from tamarack.operators import gold
+
+    texts = ["We saw Big Town and Old Port, then Big Town again.", "none here", "", None, "Ab Cd Ef Gh"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    want = sorted((i, m[0], m.start(), m.end()) for i, t in enumerate(texts) for m in re.finditer("[A-Z][a-z]+ [A-Z][a-z]+", t or ""))
+    assert sorted((r["i"], r["entity"], r["start"], r["end"]) for r in gold.ner_dataset(df, "t").collect()) == want
