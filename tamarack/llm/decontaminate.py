@@ -5,8 +5,8 @@
    passages and its transpose with a random matrix: Z = A'A G, summed by blocks of words. From Z, the driver computes the
    leading right singular vectors (randomised SVD in Nystrom form). Z has a row for each word of the vocabulary.
 3. A third pass slides windows over all documents. Items meet windows of one of four widths, at least as long as they
-   are; longer items are cut into pieces. Windows whose weight of vocabulary words could not reach an item's least overlap are passed
-   over; the others are projected, and pairs with a cosine of ``cosine`` or more are candidates.
+   are; longer items are cut into pieces. Candidates are pairs whose window has ``paraphrase`` of the item's words, in any order and
+   common ones included, which the rule of step 4 implies. They are projected and checked by falling cosine.
 4. A candidate leaks if the longest common subsequence covers ``lcs`` of the item's words; or ``paraphrase`` of them if it also
    holds ``answer`` of the item's answer, its last sentence.
 
@@ -33,6 +33,8 @@ from tamarack.llm.common import staged
 STEP = 8
 WIDTHS = (24, 48, 96, 192)
 STRETCH = 1 << 15
+GROUP = 1024  # items that are counted together
+DENSE = 1 << 24  # cells of a table of words by items; larger ones are lists
 _EDGE = re.compile(r"^\W+|\W+$")
 _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 
@@ -41,7 +43,6 @@ _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 class Params:
     rank: int = 64
     over: int = 16
-    cosine: float = 0.05
     common: float = 0.05  # words in more of the documents weigh nothing, unless all of an item's words are common
     lcs: float = 0.8
     paraphrase: float = 0.6
@@ -262,11 +263,11 @@ def _basis(read: DataFrame, idf: np.ndarray, p: Params) -> np.ndarray:
     return u[:, : p.rank].astype(np.float32)
 
 
-def _postings(items: list[Item], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each word the items of a group whose piece has it: where they begin, and their places."""
-    pairs = np.unique(np.concatenate([x.piece.astype(np.int64) * len(items) + k for k, x in enumerate(items)]))
-    word, item = pairs // len(items), pairs % len(items)
-    return np.searchsorted(word, np.arange(size + 1)), item
+def _postings(items: list[Item], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each word the items of a group whose piece has it: where they begin, their places, and how often the piece has it."""
+    keys, times = np.unique(np.concatenate([x.piece.astype(np.int64) * len(items) + k for k, x in enumerate(items)]), return_counts=True)
+    word, item = keys // len(items), keys % len(items)
+    return np.searchsorted(word, np.arange(size + 1)), item, times
 
 
 class Search:
@@ -278,11 +279,17 @@ class Search:
         self.low = np.vstack([basis * idf[:, None].astype(np.float32), np.zeros((1, basis.shape[1]), np.float32)])
         self.groups = []
         for width in WIDTHS:
-            own = [x for x in items if width_of(len(x.piece)) == width]
-            if own:
+            of = [x for x in items if width_of(len(x.piece)) == width]
+            for k in range(0, len(of), GROUP):
+                own = of[k : k + GROUP]
                 v = np.stack([self.low[x.piece].sum(axis=0) for x in own])
-                mass = np.array([self.idf[np.unique(x.piece)].sum() for x in own])
-                self.groups.append((width, own, v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12), mass, _postings(own, len(idf))))
+                least = p.paraphrase * np.array([len(x.piece) for x in own]) - 1e-9
+                first, place, times = _postings(own, len(idf))
+                has = None
+                if len(own) * (len(idf) + 1) <= DENSE:
+                    has = np.zeros((len(idf) + 1, len(own)), np.uint8)
+                    has[np.repeat(np.arange(len(idf)), np.diff(first)), place] = 1
+                self.groups.append((width, own, v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12), least, (first, place, times), has))
 
     def found(self, texts: list[np.ndarray]) -> list[dict[int, tuple[float, float]]]:
         """For each document: item id -> best (share of the item, share of its answer). Short documents are worked off together."""
@@ -307,56 +314,75 @@ class Search:
         ids = np.full(blocks * STEP, -1, np.int32)
         for (own, _), b in zip(held, first.tolist(), strict=True):
             ids[b * STEP : b * STEP + len(own)] = own
-        weight = self.idf[ids]
-        sums = np.concatenate([[0.0], np.cumsum(weight.reshape(-1, STEP).sum(axis=1))])
+        known = np.concatenate([[0], np.cumsum((ids >= 0).reshape(-1, STEP).sum(axis=1))])
         passed, needed = [], np.zeros(blocks + 1, np.int32)
-        for width, _, _, mass, _ in self.groups:
+        for width, items, _, least, postings, has in self.groups:
             n = width // STEP
             count = -(-np.maximum(1, n_blocks - n + n // 3) // (n // 3))
             text = np.repeat(np.arange(len(held)), count)
             start = first[text] + (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * (n // 3)
             end = np.minimum(start + n, (first + n_blocks)[text])
-            keep = sums[end] - sums[start] >= self.p.paraphrase * mass.min() - 1e-9
-            passed.append((start[keep], end[keep], text[keep]))
-            np.add.at(needed, start[keep], 1)
-            np.add.at(needed, end[keep], -1)
+            keep = known[end] - known[start] >= least.min()
+            start, end, text = start[keep], end[keep], text[keep]
+            # places with a word of the item, then the item's words that the window has: neither is less than any common subsequence
+            sums = self._counts(ids, postings, has, len(items))
+            window, item = np.nonzero(sums[end] - sums[start] >= least)
+            if len(window):
+                used, row = np.unique(window, return_inverse=True)
+                start, end, text = start[used], end[used], text[used]
+                near = self._shared(ids, start * STEP, end * STEP, postings, len(items))[row, item] >= least[item]
+                window, item = row[near], item[near]
+            passed.append((start, end, text, window, item))
+            if len(window):
+                np.add.at(needed, start[window], 1)
+                np.add.at(needed, end[window], -1)
         needed = np.cumsum(needed[:-1]) > 0
         if not needed.any():
             return
         place = np.concatenate([[0], np.cumsum(needed)])  # of a block among the needed ones
-        at = np.flatnonzero((weight > 0) & np.repeat(needed, STEP)[: len(ids)])
+        at = np.flatnonzero((self.idf[ids] > 0) & np.repeat(needed, STEP)[: len(ids)])
         block = place[at // STEP]
         low = np.zeros((place[-1] + 1, self.low.shape[1]), np.float32)
         if len(at):
             begin = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
             low[block[begin] + 1] = np.add.reduceat(self.low[ids[at]], begin, axis=0)
         np.cumsum(low, axis=0, out=low)
-        for (_, items, vectors, mass, postings), (start, end, text) in zip(self.groups, passed, strict=True):
-            v = low[place[end]] - low[place[start]]
+        for (_, items, vectors, *_), (start, end, text, window, item) in zip(self.groups, passed, strict=True):
+            v = low[place[end[window]]] - low[place[start[window]]]
             v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-            window, item = np.nonzero(v @ vectors.T >= self.p.cosine)
-            if not len(window):
-                continue
-            used, row = np.unique(window, return_inverse=True)
-            shared = self._shared(ids, weight, start[used] * STEP, end[used] * STEP, postings, len(items))
-            near = shared[row, item] >= self.p.paraphrase * mass[item]
-            for w, i in zip(window[near].tolist(), item[near].tolist(), strict=True):
+            order = np.argsort(-(v * vectors[item]).sum(axis=1), kind="stable")  # the nearest first: an item found whole is not checked again
+            for w, i in zip(window[order].tolist(), item[order].tolist(), strict=True):
                 a, b = int(start[w]) * STEP, int(end[w]) * STEP
                 t = int(text[w])
                 low_end, high_end = int(first[t]) * STEP, int(first[t] + n_blocks[t]) * STEP
                 self._checked(items[i], ids[max(low_end, 2 * a - b) : min(high_end, 2 * b - a)], held[t][1])
 
-    def _shared(self, ids: np.ndarray, weight: np.ndarray, begin: np.ndarray, end: np.ndarray, postings: tuple, n_items: int) -> np.ndarray:
-        """(windows, items): the weight of the distinct words that both have."""
+    def _counts(self, ids: np.ndarray, postings: tuple, has: np.ndarray | None, n_items: int) -> np.ndarray:
+        """(blocks + 1, items): running numbers of places whose word the item has."""
+        blocks = len(ids) // STEP
+        out = np.zeros((blocks + 1, n_items), np.int32)
+        if has is not None:
+            for x in range(0, blocks, 512):
+                out[x + 1 : x + 513] = has[ids[x * STEP : (x + 512) * STEP]].reshape(-1, STEP, n_items).sum(axis=1, dtype=np.uint8)
+        else:
+            first, items, _ = postings
+            at = np.flatnonzero(ids >= 0)
+            n = first[ids[at] + 1] - first[ids[at]]
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[ids[at]], n)
+            out[1:] = np.bincount(np.repeat(at // STEP, n) * n_items + items[place], minlength=blocks * n_items).reshape(blocks, n_items)
+        return np.cumsum(out, axis=0, out=out)
+
+    def _shared(self, ids: np.ndarray, begin: np.ndarray, end: np.ndarray, postings: tuple, n_items: int) -> np.ndarray:
+        """(windows, items): how many of the item's words the window has, common ones and repeats in the item included."""
         at = begin[:, None] + np.arange(int((end - begin).max()))
         at = np.minimum(at, len(ids) - 1)
-        row, col = np.nonzero((weight[at] > 0) & (at < end[:, None]))
+        row, col = np.nonzero((ids[at] >= 0) & (at < end[:, None]))
         key = np.unique(row * len(self.idf) + ids[at[row, col]])
         row, word = key // len(self.idf), key % len(self.idf)
-        first, items = postings
+        first, items, times = postings
         n = first[word + 1] - first[word]
         place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[word], n)
-        return np.bincount(np.repeat(row, n) * n_items + items[place], np.repeat(self.idf[word], n), len(begin) * n_items).reshape(len(begin), n_items)
+        return np.bincount(np.repeat(row, n) * n_items + items[place], times[place], len(begin) * n_items).reshape(len(begin), n_items)
 
     def _checked(self, item: Item, around: np.ndarray, out: dict) -> None:
         if out.get(item.item_id, (0.0, 0.0))[0] == 1.0:

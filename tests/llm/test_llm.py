@@ -297,6 +297,36 @@ def test_op10(spark):
     assert decontaminate.leaks(df.limit(0), bench).count() == 0 and decontaminate.leaks(df, bench.limit(0)).count() == 0
 
 
+def test_op10_items_of_common_words(spark):
+    common = [f"c{k}" for k in range(40)]
+    rows, items, want = [(1000 + k, " ".join(random.sample(common, 30))) for k in range(60)], [], set()
+    for k in range(8):
+        rare = 4 + k % 5
+        own = random.sample(common, 20 - rare) + [f"r{k}x{j}" for j in range(rare)]
+        random.shuffle(own)
+        items.append((k, " ".join(own)))
+        lost = set(random.sample([w for w in own if w[0] == "r"], 4))  # a fifth of the words, up to all rare ones
+        rows += [(k, " ".join(w for w in own if w not in lost)), (100 + k, " ".join("other" if w in lost else w for w in own))]
+        want |= {(k, k), (100 + k, k)}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(df, bench).collect()} >= want
+
+
+@pytest.mark.parametrize("dense", [1 << 24, 0])
+def test_op10_counts(monkeypatch, dense):
+    monkeypatch.setattr(decontaminate, "DENSE", dense)
+    pieces = [np.array(random.choices(range(30), k=15), np.int32) for _ in range(7)]
+    items = [decontaminate.Item(k, x, x[-5:], x) for k, x in enumerate(pieces)]
+    search = decontaminate.Search(items, np.ones(30), np.ones((30, 2), np.float32), decontaminate.Params())
+    ids = np.array(random.choices(range(-1, 30), k=80), np.int32)
+    (_, _, _, _, postings, has) = search.groups[0]
+    assert (has is None) == (dense == 0)
+    want = [[sum(int(x) in set(p.tolist()) for x in ids[:n]) for p in pieces] for n in range(0, 81, 8)]
+    assert search._counts(ids, postings, has, 7).tolist() == want
+    assert search._shared(ids, np.array([0]), np.array([24]), postings, 7).tolist() == [[sum(int(x) in set(ids[:24].tolist()) for x in p) for p in pieces]]
+
+
 def test_lcs_against_the_table():
     for _ in range(50):
         a, b = ([random.randrange(4) for _ in range(random.randrange(0, 12))] for _ in range(2))
