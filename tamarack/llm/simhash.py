@@ -180,7 +180,11 @@ def grouped(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
 def deduplicated(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
     """One document of each component, the one with the smallest id. Rows without an id stay unless a document with an id is
     linked to them; of rows that repeat an id, one stays."""
-    groups = staged(grouped(docs, words, bits), "simhash-groups")
+    return one_each(docs, staged(grouped(docs, words, bits), "simhash-groups"))
+
+
+def one_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``groups`` (``doc_id, component_id``, a written table that is then deleted) keeps."""
     keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n"))
     keep = staged(keep.select(F.col("doc_id").alias("__tk_id"), F.col("n").alias("__tk_n")), "simhash-keep")
     rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__tk_id")))

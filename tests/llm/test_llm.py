@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tamarack.llm import bpe, common, decontaminate, graph, html_extract, quality_rules, repeats, sharding, simhash, substring_dedup, suffix_dedup, token_output, url_filters
+from tamarack.llm import bpe, common, decontaminate, graph, html_extract, near_copies, quality_rules, repeats, sharding, simhash, substring_dedup, suffix_dedup, token_output, url_filters
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 WS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -162,6 +162,33 @@ def test_op3_links(spark, monkeypatch, hot):
     assert got == want
 
 
+def test_near_copies_against_brute_force(spark):
+    import corpus_pipeline
+
+    rows = [(1, None), (2, ""), (3, "a b"), (4, "A  b"), (None, "a b c")]
+    for k in range(12):
+        base = [f"w{random.randrange(5000)}" for _ in range(100)]
+        for c in range(6):
+            w = list(base)
+            for j in range(c):
+                w[random.randrange(100)] = f"new{k}x{c}x{j}"
+            rows.append((10 + 10 * k + c, " ".join(w)))
+    def own(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+    same = lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
+    made = [(d, own(t)) for d, t in rows]
+    top = groups_of([(i, j) for i, (_, a) in enumerate(made) for j, (_, b) in enumerate(made) if same(a, b)])
+    least = {}
+    for i, (d, _) in enumerate(made):
+        least.setdefault(top[i], []).append(d)
+    want = [(d, min([x for x in least[top[i]] if x is not None], default=None)) for i, (d, _) in enumerate(made)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ids(tuple(r) for r in near_copies.grouped(df).collect()) == ids(want)
+    assert ids((r["doc_id"],) for r in dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, df, "").collect()) == ids({(c,) for _, c in want})
+    assert near_copies.grouped(df.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize(("html", "want"), [
     (None, ""), ("", ""), ("plain  text", "plain text"), ("<nav>m</nav><article><h1>A &amp; B</h1><p>one<br>two<p>x</article><footer>f</footer>", "A & B\none two\nx"),
     ("<div class='ad'>x<article><p>Hello world</p>", "Hello world"), ("<div id='cookie-notice'>c</div><div><p>One two three.</p><p>Five.</p></div><div class='comments'><p>nice</p></div>", "One two three.\nFive."),
