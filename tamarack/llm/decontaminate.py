@@ -12,7 +12,8 @@
 
 The benchmark is worked off in blocks of items with at most ``block_bytes`` of text, so what is sent to the executors is bounded
 whatever its size; each block meets all documents. Null texts have no words and leak nothing; null ids stay null; rows that
-repeat an id are one; empty tables give an empty result; extra columns are ignored. Long texts are projected in stretches.
+repeat an id are one; empty tables give an empty result; extra columns are ignored. Long texts are projected in stretches, but
+checked as a whole: the subsequence is sought in the candidate's window and, on either side, as many words as the window or the item has.
 """
 
 from __future__ import annotations
@@ -105,8 +106,8 @@ class Item:
         ids = np.array([number[w] for w in tokens(text)], np.int32)
         sentences = [s for s in map(tokens, _SENTENCE.split(text)) if s]
         answer = np.array([number[w] for w in (sentences[-1] if sentences and len(sentences[-1]) > 1 else tokens(text)[-5:])], np.int32)
-        most = WIDTHS[-1] - STEP * 4
-        return [Item(item_id, ids, answer, ids[k : k + most]) for k in range(0, len(ids), most)]
+        # pieces that windows hold wherever they start, of about one length: one of them has the share that the whole has
+        return [Item(item_id, ids, answer, x) for x in np.array_split(ids, -(-len(ids) // (WIDTHS[-1] - WIDTHS[-1] // 3)))]
 
 
 def width_of(n: int) -> int:
@@ -297,7 +298,7 @@ class Search:
         held, size = [], 0
         for ids, own in zip(texts, out, strict=True):
             for x in range(0, len(ids), STRETCH):
-                held.append((ids[max(0, x - WIDTHS[-1]) : x + STRETCH], own))
+                held.append((ids[max(0, x - WIDTHS[-1]) : x + STRETCH], own, ids, max(0, x - WIDTHS[-1])))
                 size += len(held[-1][0])
                 if size >= STRETCH:
                     self._stretch(held)
@@ -306,13 +307,13 @@ class Search:
             self._stretch(held)
         return out
 
-    def _stretch(self, held: list[tuple[np.ndarray, dict]]) -> None:
+    def _stretch(self, held: list[tuple[np.ndarray, dict, np.ndarray, int]]) -> None:
         # each text begins at a block of its own; what fills its last block weighs nothing
-        n_blocks = np.array([-(-len(ids) // STEP) for ids, _ in held])
+        n_blocks = np.array([-(-len(ids) // STEP) for ids, *_ in held])
         first = np.cumsum(n_blocks) - n_blocks
         blocks = int(n_blocks.sum())
         ids = np.full(blocks * STEP, -1, np.int32)
-        for (own, _), b in zip(held, first.tolist(), strict=True):
+        for (own, *_), b in zip(held, first.tolist(), strict=True):
             ids[b * STEP : b * STEP + len(own)] = own
         known = np.concatenate([[0], np.cumsum((ids >= 0).reshape(-1, STEP).sum(axis=1))])
         passed, needed = [], np.zeros(blocks + 1, np.int32)
@@ -351,11 +352,20 @@ class Search:
             v = low[place[end[window]]] - low[place[start[window]]]
             v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
             order = np.argsort(-(v * vectors[item]).sum(axis=1), kind="stable")  # the nearest first: an item found whole is not checked again
+            done = set()
             for w, i in zip(window[order].tolist(), item[order].tolist(), strict=True):
-                a, b = int(start[w]) * STEP, int(end[w]) * STEP
                 t = int(text[w])
-                low_end, high_end = int(first[t]) * STEP, int(first[t] + n_blocks[t]) * STEP
-                self._checked(items[i], ids[max(low_end, 2 * a - b) : min(high_end, 2 * b - a)], held[t][1])
+                _, own, whole, shift = held[t]
+                a, b = (int(x - first[t]) * STEP + shift for x in (start[w], end[w]))
+                n = len(items[i].ids)
+                if n > WIDTHS[-1]:  # its pieces' windows within a cell of the item's length share one check
+                    cell = (t, id(items[i].ids), a // n)
+                    if cell in done:
+                        continue
+                    done.add(cell)
+                    a, b = a // n * n, a // n * n + n + WIDTHS[-1]
+                reach = max(b - a, n) if n <= WIDTHS[-1] else n
+                self._checked(items[i], whole[max(0, a - reach) : b + reach], own)
 
     def _counts(self, ids: np.ndarray, postings: tuple, has: np.ndarray | None, n_items: int) -> np.ndarray:
         """(blocks + 1, items): running numbers of places whose word the item has."""

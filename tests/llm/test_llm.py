@@ -354,6 +354,21 @@ def test_op10_counts(monkeypatch, dense):
     assert search._shared(ids, np.array([0]), np.array([24]), postings, 7).tolist() == [[sum(int(x) in set(ids[:24].tolist()) for x in p) for p in pieces]]
 
 
+def test_op10_long_items_across_stretches(spark):
+    filler = lambda n: " ".join(f"f{random.randrange(4000)}" for _ in range(n))
+    items = [(k, " ".join(f"w{random.randrange(3000)}" for _ in range(n))) for k, n in enumerate((129, 330, 730, 1000, 2500))]
+    rows = [(k, f"{filler(70)} {t} {filler(90)}") for k, t in items]
+    border = decontaminate.STRETCH
+    rows += [(100 + k, f"{filler(border - len(t.split()) // 2)} {t} {filler(400)}") for k, t in items]
+    rows += [(200 + k, f"{filler(500)} {' '.join(w for j, w in enumerate(t.split()) if j % 6)} {filler(50)}") for k, t in items]
+    rows += [(300 + k, " ".join(t.split()[: len(t.split()) // 2]) + " " + filler(900)) for k, t in items]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["lcs_share"] for r in decontaminate.leaks(df, bench).collect()}
+    assert set(got) == {(d + k, k) for d in (0, 100, 200) for k, _ in items}
+    assert all(got[d + k, k] == 1.0 for d in (0, 100) for k, _ in items)
+
+
 def test_lcs_against_the_table():
     for _ in range(50):
         a, b = ([random.randrange(4) for _ in range(random.randrange(0, 12))] for _ in range(2))
