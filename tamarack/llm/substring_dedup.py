@@ -1,14 +1,17 @@
 """Exact substring dedup over words: suffix trees partitioned by variable-length prefixes.
 
-Suffixes are split by their prefix at an anchor, the q-gram that owns their window; prefixes with one suffix cannot hold a
-repeat. The suffixes of a prefix fit in memory: for each distance before the anchor, sorted by their paths they form a subtree, and the
-depth that neighbours share is that of the inner node between them. Inner nodes of 35 words and more are the repeats.
-Prefixes with too many suffixes are split further: each window is then a suffix of its own, grouped by its first four words, which
-are lengthened to 8, 16, 24 and 32 words where a group would exceed ``GROUP`` suffixes. A node with very many leaves is read as a
-stream: only its first leaf is held until a second one shows the repeat.
+Each suffix that starts a window belongs to the prefix that ends with the window's owner, the q-gram with the smallest hash (see
+``repeats``): a prefix of 10 to 35 words, the same wherever the window occurs. Prefixes with one suffix cannot hold a repeat. The
+prefixes of one owner form a group that fits in memory, and its subtrees are built from the top: a node is split by
+the next word of its suffixes, those that are alone become leaves, and an inner node that is still shared at a depth of 35 words is a
+repeat; inner nodes are followed no deeper, as the windows behind them have nodes of their own. The words themselves are compared.
+Groups with too many suffixes are split further: each window is then a suffix of its own, grouped by its first four words, which
+are lengthened to 8, 16, 24 and 32 words where a group would exceed ``GROUP`` suffixes, and named by fingerprints of 128 bits. A node
+with very many leaves is read as a stream: only its first leaf is held until a second one shows the repeat.
 
 Null texts have no words. Texts with fewer words than a window stay whole. Rows that repeat a text repeat each other and
-are removed in full. An empty table gives an empty result; extra columns are ignored. Long texts are worked off in blocks.
+are removed in full. An empty table gives an empty result; extra columns, whatever their names, are ignored. Long texts are worked off
+in blocks.
 """
 
 from __future__ import annotations
@@ -21,59 +24,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.llm.common import WS
-from tamarack.llm.repeats import Finder, Shape, Sums, keyed, mixed
+from tamarack.llm.repeats import Bucketful, Finder, Shape, Sums, Words, bucketed, keyed
 
 LENGTH, GRAM = 35, 10
 DEPTHS = (4, 8, 16, 24, 32)
 GROUP = 1_000_000
-STRETCH = 1 << 20
 
 
-_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_SPACE = np.isin(np.arange(256), list(WS.encode()))
-
-
-def raw(text: str) -> np.ndarray:
-    """A fingerprint of each word."""
-    line = text.encode()
-    if len(line) > STRETCH:  # word by word, as the sums below take many times the text's memory
-        own = line.split()
-        return np.concatenate([_hashed(b" ".join(own[k : k + 4096])) if sum(map(len, own[k : k + 4096])) < STRETCH else np.concatenate([_hashed(w) for w in own[k : k + 4096]]) for k in range(0, len(own), 4096)] or [np.zeros(0, np.uint64)])
-    return _hashed(line)
-
-
-def _hashed(line: bytes) -> np.ndarray:
-    x = np.frombuffer(line, np.uint8)
-    edge = np.flatnonzero(np.diff(_SPACE[x], prepend=True, append=True))
-    return Sums(_BYTES[x]).of(edge[::2], edge[1::2])
-
-
-def spread(x: np.ndarray) -> np.ndarray:
-    return x
-
-
-def subtrees_in_memory(part, width: int):
-    """Leaves under deep inner nodes, by offset. A path is read in three steps: up to the anchor, and two of what follows."""
-
-    def walked(symbols: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(symbols), width), np.uint64)
-        x = part.bucket.astype(np.uint64)
-        for j in range(width - 1):
-            out[:, j] = x
-            x = mixed(x * np.uint64(0x9E3779B97F4A7C15) + symbols[:, j])
-        out[:, width - 1] = x
-        return out
-
-    left, right = walked(part.left), walked(part.right)
-    for back in range(width):
-        own = np.flatnonzero(part.windows(back, width))
-        if len(own) < 2:
-            continue
-        rest = width - 1 - back
-        steps = (left[own, back], right[own, rest // 2], right[own, rest])
-        order = np.lexsort(steps[::-1])
-        shared = np.logical_and.reduce([x[order][1:] == x[order][:-1] for x in steps])  # the inner node is deep
-        yield back, own[order[np.concatenate([[False], shared]) | np.concatenate([shared, [False]])]]
+def subtrees_in_memory(part: Bucketful, unit: type, shape: Shape) -> np.ndarray:
+    """Which owned windows are leaves under an inner node that is deep enough."""
+    words, begin, _ = unit.grams(part.texts, shape.length)
+    cls, start = part.windows()
+    at = begin[cls] + part.left[cls] + start
+    # the roots: prefixes of one owner that end with it differ in length
+    node, several = bucketed(part.bucket[cls] * (shape.width + 1) - start)
+    many = int(words.max(initial=0)) + 1
+    for depth in range(shape.length):
+        if not len(several):
+            break
+        child, shared = bucketed(node[several] * many + words[at[several] + depth])
+        node[several] = child
+        several = several[shared]
+    out = np.zeros(len(at), bool)
+    out[several] = True
+    return out
 
 
 def _paths(sums: Sums, start: np.ndarray, end: np.ndarray) -> list[pa.Array]:
@@ -124,12 +98,7 @@ def subtrees(windows: DataFrame) -> DataFrame:
 
 
 def finder(length: int = LENGTH) -> Finder:
-    return Finder(Shape(length, max(1, length * GRAM // LENGTH)), raw, spread, subtrees_in_memory, subtrees, _paths)
-
-
-def _rest(text: str, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
-    own = text.encode().split()
-    return [w for a, b in zip([0, *ends.tolist()], [*starts.tolist(), len(own)], strict=True) for w in own[a:b]]
+    return Finder(Shape(length, max(1, length * GRAM // LENGTH)), Words, subtrees_in_memory, subtrees, _paths)
 
 
 def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -137,7 +106,7 @@ def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     own = keyed(docs)
 
     def finish(text, starts, ends):
-        return int((ends - starts).sum()), hashlib.sha256(b" ".join(_rest(text, starts, ends))).hexdigest()
+        return int((ends - starts).sum()), hashlib.sha256(Words.rest(text, starts, ends)).hexdigest()
 
     found = finder(length).cut(own, finish, "n_removed long, sha string", [pa.int64(), pa.string()])
     found = found.filter("n_removed > 0").dropDuplicates(["doc_id", "k"]).withColumnsRenamed({"doc_id": "_id", "k": "_k"})
@@ -150,7 +119,7 @@ def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``doc_id, text``: the kept words, joined by one space."""
     own = keyed(docs)
-    found = finder(length).cut(own, lambda t, s, e: (b" ".join(_rest(t, s, e)).decode() if len(s) else None,), "rest string", [pa.string()])
+    found = finder(length).cut(own, lambda t, s, e: (Words.rest(t, s, e).decode() if len(s) else None,), "rest string", [pa.string()])
     found = found.filter("rest IS NOT NULL").dropDuplicates(["doc_id", "k"]).withColumnsRenamed({"doc_id": "_id", "k": "_k"})
     out = own.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("k") == F.col("_k")), "left")
     return out.select("doc_id", F.coalesce("rest", F.regexp_replace(F.btrim("text", F.lit(WS)), "[ \\x09-\\x0D]+", " ")).alias("text"))

@@ -1,12 +1,14 @@
-"""Exact substring dedup over bytes: suffix-array buckets refined by bucket identifiers of later offsets.
+"""Exact substring dedup over bytes or words: suffix-array buckets refined by bucket pointers of later offsets.
 
-Suffixes start in q-gram buckets. A bucket of one is final. The suffixes of the others are refined in memory, bucket by
-bucket: the bucket identifier one symbol further out follows from sorting on the identifier so far and the next symbol, to
-the right (later offsets) and, as a suffix is kept at its anchor, to the left. A window's identifier is that of the pair of
-its left and right identifiers, so what one round names all later ones reuse. See ``repeats`` for the passes around it.
+Suffixes start in q-gram buckets. A bucket of one is final. The others are refined in memory, together for all texts around the
+anchors of some buckets (see ``repeats``): each suffix holds a pointer to its bucket, first that of its first q symbols. Suffixes that
+are not alone are sorted by their own pointer and that of the suffix ``h`` places later, which tells 2 h symbols apart; the new
+pointers stay inside the old bucket's range, so those of all other suffixes remain valid, and later rounds sort by them at once. The
+rounds end at the window length. The symbols themselves are compared, so equality is exact.
 
 Null texts are empty. Texts shorter than the window stay whole. Rows that repeat a text repeat each other and are removed
-in full. An empty table gives an empty result; extra columns are ignored. Very long texts are worked off in blocks.
+in full. An empty table gives an empty result; extra columns, whatever their names, are ignored or kept as they are. Very long
+texts are worked off in blocks.
 """
 
 from __future__ import annotations
@@ -18,36 +20,35 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamarack.llm.repeats import Finder, Shape, keyed, mixed
+from tamarack.llm.repeats import Bucketful, Bytes, Finder, Shape, Words, bucketed, keyed
 
 LENGTH, GRAM = 400, 160
-_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-
-def raw(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode(), np.uint8)
-
-
-def spread(x: np.ndarray) -> np.ndarray:
-    return _BYTES[x]
-
-
-def refined_in_memory(part, width: int):
-    """Windows that two classes of a bucket share, by offset."""
-
-    def outward(symbols: np.ndarray) -> list[np.ndarray]:
-        names = [part.bucket.astype(np.int64)]
-        for j in range(width - 1):
-            _, own = np.unique(names[-1] * 256 + symbols[:, j], return_inverse=True)
-            names.append(own)
-        return names
-
-    left, right = outward(part.left), outward(part.right)
-    size = len(part.bucket) + 1
-    for back in range(width):
-        own = np.flatnonzero(part.windows(back, width))
-        _, name, n = np.unique(left[back][own] * size + right[width - 1 - back][own], return_inverse=True, return_counts=True)
-        yield back, own[n[name] > 1]
+#: Words of a passage, where its length is meant in words.
+PASSAGE = 50
+
+
+def refined_in_memory(part: Bucketful, unit: type, shape: Shape) -> np.ndarray:
+    """Which owned windows another class has too."""
+    grams, begin, h = unit.grams(part.texts, shape.length)
+    pointer, several = bucketed(grams)
+    end = len(pointer)
+    pointer = np.append(pointer, end)
+    while h < shape.length and len(several):
+        far = min(h, shape.length - h)
+        own, later = pointer[several], pointer[np.minimum(several + far, end)]
+        order = np.argsort(own * (end + 1) + later, kind="stable")
+        several, own, later = several[order], own[order], later[order]
+        new = np.concatenate([[True], own[1:] != own[:-1]])
+        split = new | np.concatenate([[True], later[1:] != later[:-1]])
+        place = np.arange(len(own))
+        first = np.flatnonzero(split)
+        size = np.diff([*first, len(own)])
+        pointer[several] = own + np.repeat(first, size) - np.maximum.accumulate(np.where(new, place, 0))
+        several = several[np.repeat(size > 1, size)]
+        h += far
+    cls, start = part.windows()
+    _, name, n = np.unique(pointer[begin[cls] + part.left[cls] + start], return_inverse=True, return_counts=True)
+    return n[name] > 1
 
 
 def refined(windows: DataFrame) -> DataFrame:
@@ -56,39 +57,38 @@ def refined(windows: DataFrame) -> DataFrame:
     return windows.join(shared, ["w1", "w2"]).groupBy("a", "g").agg(F.min("at").alias("first"), F.max("at").alias("last"))
 
 
-def finder(length: int = LENGTH) -> Finder:
-    return Finder(Shape(length, max(1, length * GRAM // LENGTH)), raw, spread, refined_in_memory, refined)
-
-
-def _rest(text: str, starts: np.ndarray, ends: np.ndarray) -> bytes:
-    raw = text.encode()
-    return b"".join(raw[a:b] for a, b in zip([0, *ends.tolist()], [*starts.tolist(), len(raw)], strict=True))
+def finder(length: int = LENGTH, unit: type = Bytes) -> Finder:
+    return Finder(Shape(length, max(1, length * GRAM // LENGTH)), unit, refined_in_memory, refined)
 
 
-def digests(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for each row."""
+def digests(docs: DataFrame, length: int = LENGTH, passage: int = PASSAGE) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for each row, by strings of ``length`` bytes; and ``n_passage_words``, by
+    the same method over words: those in passages of ``passage`` words that start anywhere else too, however few bytes they have."""
     own = keyed(docs)
 
     def finish(text, starts, ends):
-        return int((ends - starts).sum()), len(starts), hashlib.sha256(_rest(text, starts, ends)).hexdigest()
+        return int((ends - starts).sum()), len(starts), hashlib.sha256(Bytes.rest(text, starts, ends)).hexdigest()
 
-    found = finder(length).cut(own, finish, "n_removed long, n_spans long, sha string", [pa.int64(), pa.int64(), pa.string()])
-    found = found.filter("n_spans > 0").dropDuplicates(["doc_id", "k"]).withColumnsRenamed({"doc_id": "_id", "k": "_k"})
+    cut = finder(length).cut(own, finish, "n_removed long, n_spans long, sha string", [pa.int64(), pa.int64(), pa.string()])
+    said = finder(passage, Words).cut(own, lambda t, s, e: (int((e - s).sum()),), "n_passage_words long", [pa.int64()])
+    none = F.lit(None).cast("long")
+    found = cut.select("*", none.alias("n_passage_words")).unionByName(said.select("*", none.alias("n_removed"), none.alias("n_spans"), F.lit(None).cast("string").alias("sha")))
+    found = found.filter("n_spans > 0 OR n_passage_words > 0").groupBy(F.col("doc_id").alias("_id"), F.col("k").alias("_k")).agg(*[F.max(c).alias(c) for c in ("n_removed", "n_spans", "sha", "n_passage_words")])
     base = own.select("doc_id", "k", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("whole"))
     out = base.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("k") == F.col("_k")), "left")
-    none = F.lit(0).cast("long")
-    return out.select("doc_id", "n_bytes", F.coalesce("n_removed", none).alias("n_removed"), F.coalesce("n_spans", none).alias("n_spans"), F.coalesce("sha", "whole").alias("kept_sha256"))
+    no = F.lit(0).cast("long")
+    return out.select("doc_id", "n_bytes", *[F.coalesce(c, no).alias(c) for c in ("n_removed", "n_spans")], F.coalesce("sha", "whole").alias("kept_sha256"), F.coalesce("n_passage_words", no).alias("n_passage_words"))
 
 
-def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` without the repeated bytes (``n_chars``, if there, follows). What a cut leaves of a character at an edge goes too.
-    Documents of which nothing is left stay, empty."""
+def deduplicated(docs: DataFrame, length: int = LENGTH, unit: type = Bytes) -> DataFrame:
+    """``docs`` without the repeated symbols (``n_chars``, if there, follows): strings of ``length`` bytes, where what a cut leaves of a
+    character at an edge goes too, or passages of ``length`` words with the white space inside. Documents of which nothing is left stay."""
     own = keyed(docs)
 
     def finish(text, starts, ends):
-        return (_rest(text, starts, ends).decode("utf-8", "ignore") if len(starts) else None,)
+        return (unit.kept(text, starts, ends).decode("utf-8", "ignore") if len(starts) else None,)
 
-    found = finder(length).cut(own, finish, "rest string", [pa.string()])
+    found = finder(length, unit).cut(own, finish, "rest string", [pa.string()])
     found = found.filter("rest IS NOT NULL").dropDuplicates(["doc_id", "k"]).withColumnsRenamed({"doc_id": "__tk_id", "k": "__tk_k", "rest": "__tk_rest"})
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.withColumn("__tk_key", F.xxhash64(F.col("doc_id").cast("long"), text, F.lit(8)))

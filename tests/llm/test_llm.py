@@ -77,11 +77,11 @@ def test_op2_and_op8_against_brute_force(docs, monkeypatch, large_buckets):
         monkeypatch.setattr(repeats, "BUCKET", 1)
         monkeypatch.setattr(substring_dedup, "GROUP", 50)
     raw = [(t or "").encode() for _, t, *_ in ROWS]
+    words = [tuple(b.split()) for b in raw]
     want = []
-    for (d, *_), b, c in zip(ROWS, raw, covered(raw, 400), strict=True):
-        want.append((d, len(b), int(c.sum()), int((np.diff(np.concatenate([[0], c.astype(int)])) == 1).sum()), hashlib.sha256(bytes(x for x, y in zip(b, c, strict=True) if not y)).hexdigest()))
+    for (d, *_), b, c, p in zip(ROWS, raw, covered(raw, 400), covered(words, 50), strict=True):
+        want.append((d, len(b), int(c.sum()), int((np.diff(np.concatenate([[0], c.astype(int)])) == 1).sum()), hashlib.sha256(bytes(x for x, y in zip(b, c, strict=True) if not y)).hexdigest(), int(p.sum())))
     assert ids(tuple(r) for r in suffix_dedup.digests(docs).collect()) == ids(want)
-    words = [tuple(b.split()) for b in raw]
     want = [(d, len(w), int(c.sum()), hashlib.sha256(b" ".join(x for x, y in zip(w, c, strict=True) if not y)).hexdigest()) for (d, *_), w, c in zip(ROWS, words, covered(words, 35), strict=True)]
     assert ids(tuple(r) for r in substring_dedup.digests(docs).collect()) == ids(want)
 
@@ -93,16 +93,36 @@ def test_op2_and_op8_texts(docs):
     assert {r["text"] for r in substring_dedup.deduplicated(docs).filter("doc_id = 103").collect()} == {"z" * 399}
 
 
+def test_op8_passages_of_words(spark):
+    words = [f"w{k}" for k in range(400)]
+    passage = " \n".join(words[:55])
+    rows = [(1, f"é {' '.join(words[60:80])} {passage} . {' '.join(words[80:120])}", 9, "x"), (2, f"{passage}\n\nrest of it", 9, "y"), (3, " ".join(words[200:249]), 9, "z"), (4, " ".join(words[200:249]) + " other", 9, "z"), (None, None, 9, "w")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, k string")
+    got = {r["doc_id"]: (r["text"], r["n_chars"], r["k"]) for r in suffix_dedup.deduplicated(df, suffix_dedup.PASSAGE, repeats.Words).collect()}
+    one, two = rows[0][1].replace(passage, ""), "\n\nrest of it"
+    assert got == {1: (one, len(one), "x"), 2: (two, len(two), "y"), 3: (rows[2][1], 9, "z"), 4: (rows[3][1], 9, "z"), None: (None, 9, "w")}
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 64])
+def test_long_texts_in_stretches(monkeypatch, piece):
+    texts = [b.encode() for b in BASE] + [b"", b" ", b"x" * 300, b"\n a  b\x0b"]
+    monkeypatch.setattr(repeats, "PIECE", 1 << 30)
+    symbols, ends = repeats.Words.symbols(texts)
+    assert np.diff([0, *ends]).tolist() == [len(t.split()) for t in texts]
+    monkeypatch.setattr(repeats, "PIECE", piece)
+    assert np.array_equal(np.concatenate([repeats.Words.symbols([t])[0] for t in texts]), symbols)
+
+
 def test_blocks_do_not_change_anchors(monkeypatch):
     shape = repeats.Shape(400, 160)
     for t in [BASE[0] * 3, "ab" * 3000, "z" * 2000]:
-        x = suffix_dedup.spread(suffix_dedup.raw(t))
+        x, ends = repeats.Bytes.symbols([t.encode()])
         monkeypatch.setattr(repeats, "BLOCK", 1 << 18)
-        (p,) = repeats.parts(x, shape)
+        (p,) = repeats.parts(x, ends, shape)
         assert (p.high - p.low + 1).sum() == len(t) - 399
         for block in (100, 333):
             monkeypatch.setattr(repeats, "BLOCK", block)
-            parts = list(repeats.parts(x, shape))
+            parts = list(repeats.parts(x, ends, shape))
             for f in (lambda q: q.at + q.offset, lambda q: q.context, lambda q: q.low + q.offset, lambda q: q.high + q.offset):
                 assert np.array_equal(np.concatenate([f(q) for q in parts]), f(p))
 
