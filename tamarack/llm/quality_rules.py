@@ -4,11 +4,12 @@ Each document gets a few counts and, from them, integer metrics. Per language an
 holds the metrics: counts by bucket, where buckets are exact below 1,024 and keep the ten leading bits above, so the
 relative error is under 0.1 % and a sketch has a bounded number of buckets; two sketches merge by adding counts. Groups
 with fewer than ``min_group`` documents use the merged sketch of their language, then that of the corpus. Upper limits
-are ``q3 + spread * (q3 - q1)`` with a floor under the limit, so that a uniform group does not reject its own tail; the
-limits are then joined to the documents and filter them.
+are ``q3 + spread * max(q3 - q1, least)``, where ``least`` is a metric's least spread: a group whose middle half is all alike, as
+with counts that are mostly zero, is not taken to have no spread at all. The limits are then joined to the documents and filter them.
 
 Null texts have no words and fail the base rule; null languages or sources are groups of their own. Repeated rows are
-judged one by one and alike; an empty table gives an empty result; extra columns are ignored (``scored`` keeps them).
+judged one by one and alike; a document at its limit stays. Texts are read whole, very long ones in one row's memory. An empty table
+gives an empty result; extra columns, whatever their names, are ignored (``scored`` and ``filtered`` keep them).
 """
 
 from __future__ import annotations
@@ -21,18 +22,18 @@ from pyspark.sql import Window as W
 
 from tamarack.llm.common import WS, staged
 
-#: metric -> least upper limit, in its own unit (thousandths; hundredths for the word length).
-FLOORS = {"symbols": 60, "dup_lines": 500, "repeats": 300, "word_length": 1200, "upper": 500}
+#: metric -> least spread between its quartiles, in its own unit (thousandths; hundredths for the word length).
+SPREADS = {"symbols": 10, "dup_lines": 60, "repeats": 50, "word_length": 20, "upper": 5}
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 @dataclass(frozen=True)
 class Rules:
-    spread: float = 3.0
+    spread: int = 6
     min_group: int = 200
     min_words: int = 50
     max_repeat_pct: int = 50
-    floors: tuple = tuple(FLOORS.items())
+    spreads: tuple = tuple(SPREADS.items())
 
 
 def _per(a: Column, b: Column, unit: int) -> Column:
@@ -85,8 +86,8 @@ def bucket(v: Column) -> Column:
 
 def limits(rows: DataFrame, rules: Rules) -> DataFrame:
     """``lang, source`` and the upper limit of each metric, from the sketches of all rows."""
-    floors = dict(rules.floors)
-    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"__tk_q.{m}").alias("v")) for m in floors]))
+    spreads = dict(rules.spreads)
+    pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"__tk_q.{m}").alias("v")) for m in spreads]))
     sketch = rows.select("lang", "source", pairs.alias("x")).groupBy("lang", "source", F.col("x.metric").alias("metric"), bucket(F.col("x.v")).alias("b")).agg(F.count("*").alias("n"))
     sketch = staged(sketch, "quality-sketch")
     by_lang = sketch.groupBy("lang", "metric", "b").agg(F.sum("n").alias("n"))
@@ -104,30 +105,30 @@ def limits(rows: DataFrame, rules: Rules) -> DataFrame:
     t2 = top.select(F.col("metric").alias("_tm"), F.col("q1").alias("t_q1"), F.col("q3").alias("t_q3"))
     joined = own.join(l2, own["lang"].eqNullSafe(l2["_lang"]) & (own["metric"] == l2["_m"]), "left").join(t2, F.col("metric") == F.col("_tm"), "left")
     q = {k: F.coalesce(F.when(big, F.col(k)), F.col(f"l_{k}"), F.col(f"t_{k}")) for k in ("q1", "q3")}
-    floor = F.element_at(F.create_map(*[x for m, f in floors.items() for x in (F.lit(m), F.lit(f))]), F.col("metric"))
-    upper = F.greatest(F.floor(q["q3"] + rules.spread * (q["q3"] - q["q1"])), floor).cast("long")
-    return joined.groupBy("lang", "source").agg(*[F.max(F.when(F.col("metric") == m, upper)).alias(f"max_{m}") for m in floors])
+    least = F.element_at(F.create_map(*[x for m, f in spreads.items() for x in (F.lit(m), F.lit(f))]), F.col("metric"))
+    upper = (q["q3"] + rules.spread * F.greatest(q["q3"] - q["q1"], least)).cast("long")
+    return joined.groupBy("lang", "source").agg(*[F.max(F.when(F.col("metric") == m, upper)).alias(f"max_{m}") for m in spreads])
 
 
 def judged(rows: DataFrame, rules: Rules = Rules(), prefix: str = "") -> DataFrame:
     """Scored rows (a written table: they are read twice) with ``base_failed`` and ``kept``."""
     of = limits(rows, rules)
-    of = of.select(F.col("lang").alias("__tk_jl"), F.col("source").alias("__tk_js"), *[F.col(f"max_{m}").alias(f"__tk_max_{m}") for m, _ in rules.floors])
+    of = of.select(F.col("lang").alias("__tk_jl"), F.col("source").alias("__tk_js"), *[F.col(f"max_{m}").alias(f"__tk_max_{m}") for m, _ in rules.spreads])
     out = rows.join(of, F.col("lang").eqNullSafe(F.col("__tk_jl")) & F.col("source").eqNullSafe(F.col("__tk_js")), "left")
     q = lambda k: F.col(f"__tk_q.{k}")
     base = (q("n_words") < rules.min_words) | (100 * q("n_repeat_words") > rules.max_repeat_pct * q("n_words"))
-    over = [F.coalesce(q(m) > F.col(f"__tk_max_{m}"), F.lit(False)) for m, _ in rules.floors]
+    over = [F.coalesce(q(m) > F.col(f"__tk_max_{m}"), F.lit(False)) for m, _ in rules.spreads]
     bad = base
     for x in over:
         bad = bad | x
-    reasons = F.filter(F.array(*[F.when(x, F.lit(m)) for x, (m, _) in zip(over, rules.floors, strict=True)]), lambda x: x.isNotNull())
-    return out.withColumns({f"{prefix}base_failed": base, f"{prefix}kept": ~bad, f"{prefix}reasons": reasons}).drop("__tk_jl", "__tk_js", *[f"__tk_max_{m}" for m, _ in rules.floors])
+    reasons = F.filter(F.array(*[F.when(x, F.lit(m)) for x, (m, _) in zip(over, rules.spreads, strict=True)]), lambda x: x.isNotNull())
+    return out.withColumns({f"{prefix}base_failed": base, f"{prefix}kept": ~bad, f"{prefix}reasons": reasons}).drop("__tk_jl", "__tk_js", *[f"__tk_max_{m}" for m, _ in rules.spreads])
 
 
 def query(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """One row per document: the base counts and the verdict."""
     rows = staged(scored(docs.select("doc_id", "text", "lang", "source")).drop("text"), "quality-scores")
-    return judged(rows, rules).select("doc_id", *[F.col(f"__tk_q.{k}").alias(k) for k in BASE], "base_failed", "kept", *[F.col(f"__tk_q.{m}").alias(m) for m, _ in rules.floors])
+    return judged(rows, rules).select("doc_id", *[F.col(f"__tk_q.{k}").alias(k) for k in BASE], "base_failed", "kept", *[F.col(f"__tk_q.{m}").alias(m) for m, _ in rules.spreads])
 
 
 def filtered(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -138,8 +139,8 @@ def filtered(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 def oracle(rules: Rules = Rules()) -> str:
     """The same in DuckDB's SQL."""
-    floors = dict(rules.floors)
-    ms = list(floors)
+    spreads = dict(rules.spreads)
+    ms = list(spreads)
     ws = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
     return f"""
 WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS x, trim(coalesce(text, ''), {ws}) AS t FROM documents),
@@ -163,7 +164,7 @@ z AS (SELECT q1.lang, q1.source, q1.metric,
  CASE WHEN q1.size >= {rules.min_group} THEN q1.q1 WHEN q2.size >= {rules.min_group} THEN q2.q1 ELSE q3.q1 END AS lo,
  CASE WHEN q1.size >= {rules.min_group} THEN q1.q3 WHEN q2.size >= {rules.min_group} THEN q2.q3 ELSE q3.q3 END AS hi
  FROM q1 JOIN q2 ON q1.lang IS NOT DISTINCT FROM q2.lang AND q1.metric = q2.metric JOIN q3 ON q1.metric = q3.metric),
-u AS (SELECT lang, source, {', '.join(f"max(CASE WHEN metric = '{m}' THEN greatest(floor(hi + {rules.spread} * (hi - lo)), {f}) END) AS max_{m}" for m, f in floors.items())} FROM z GROUP BY ALL)
+u AS (SELECT lang, source, {', '.join(f"max(CASE WHEN metric = '{m}' THEN hi + {rules.spread} * greatest(hi - lo, {f}) END) AS max_{m}" for m, f in spreads.items())} FROM z GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
  NOT (base_failed OR {' OR '.join(f'{m} > max_{m}' for m in ms)}) AS kept, {', '.join(f'{m}::BIGINT AS {m}' for m in ms)}
 FROM (SELECT q.*, n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeat_pct} * n_words AS base_failed, {', '.join(f'max_{m}' for m in ms)}

@@ -67,8 +67,20 @@ def test_op1_rejects_odd_documents_of_a_group(spark):
     word = lambda: "".join(random.choice("abcdefghijklmnop") for _ in range(random.randrange(3, 8)))
     good = [(i, " ".join(word() for _ in range(80)), "en", "s") for i in range(300)]
     bad = [(1000 + i, " ".join(word() + "###" for _ in range(80)), "en", "s") for i in range(20)]
-    df = spark.createDataFrame(good + bad, "doc_id long, text string, lang string, source string")
-    assert {r["doc_id"] for r in quality_rules.query(df).filter("kept").collect()} == {g[0] for g in good}
+    # long words are odd among short ones, but not in a source that has many of them
+    long = lambda: "".join(random.choice("abcdefghijklmnop") for _ in range(random.randrange(8, 24)))
+    bad += [(2000 + i, " ".join(long() for _ in range(80)), "en", "s") for i in range(20)]
+    other = [(3000 + i, " ".join(long() for _ in range(80)), "en", "t") for i in range(300)]
+    df = spark.createDataFrame(good + bad + other, "doc_id long, text string, lang string, source string")
+    assert {r["doc_id"] for r in quality_rules.query(df).filter("kept").collect()} == {g[0] for g in good + other}
+
+
+def test_op1_very_long_text_and_clashing_names(spark):
+    text = "word other\n" * 40_000
+    df = spark.createDataFrame([(1, text, "en", "s", 5, "q", 7)], "doc_id long, text string, lang string, source string, n_words int, kept string, b int")
+    (r,) = quality_rules.query(df).collect()
+    assert (r["n_words"], r["n_dup_lines"], r["n_repeat_words"], r["kept"]) == (80_000, 39_999, 80_000, False)
+    assert quality_rules.filtered(df).columns == df.columns
 
 
 @pytest.mark.parametrize("large_buckets", [False, True])
@@ -218,6 +230,45 @@ def test_op4(html, want):
     assert html_extract.extracted(html) == want
 
 
+PROSE = "A plain sentence of some length, as articles have many of them, goes on here and comes to its end. " * 3
+
+
+@pytest.mark.parametrize(("html", "want", "by_smoothing"), [
+    (f"<article><h1>A</h1><p>{PROSE}</p><p>Yes.</p></article><article><p>A short second one.</p></article>", ["A", PROSE, "Yes.", "A short second one."], True),
+    (f"<body><p>Lead ...</p><article><p>{PROSE}</p></article>", ["Lead ...", PROSE], True),
+    (f"<main><p>{PROSE}</p><section class='related-work'><h2>Related work</h2><p>Some.</p></section><div id='search'><p>On search.</p></div></main>", [PROSE, "Related work", "Some.", "On search."], False),
+    (f"<main><h1>Title</h1><article><p>{PROSE}</p></article></main>", ["Title", PROSE], False),
+    (f"<div><ul><li><a href=x>Home</a><li><a href=x>News of today and much more of it</a></ul></div><div><p>{PROSE}</p><p>{PROSE}</p></div><div><a>top</a></div>", [PROSE, PROSE], False),
+    (f"<div><div>{PROSE}</div><div>Short.</div><div>{PROSE}</div></div>", [PROSE, "Short.", PROSE], True),
+    (f"<p>One <span class=ad>buy</span> two <a href=x>three</a> {PROSE}</p><article class=comment><p>{PROSE}</p></article>", [f"One two three {PROSE}"], False),
+])
+def test_op4_regions(html, want, by_smoothing):
+    want = "\n".join(x.strip() for x in want)
+    assert html_extract.extracted(html) == want
+    assert (html_extract.extracted(html, sigma=0) != want) == by_smoothing
+
+
+def test_op4_pages_against_plain_patterns(spark):
+    """The test pages have one article each; an article's blocks by patterns, without a parser."""
+    import html
+    import os
+
+    if not os.path.isdir("/root/testdata/sf0.01"):
+        pytest.skip("no test tables")
+    block = re.compile(r"</?(?:p|h1)>")
+    for r in html_extract.main_text(common.table(spark, "/root/testdata/sf0.01", "pages")).join(common.table(spark, "/root/testdata/sf0.01", "pages").select("page_id", "html"), "page_id").collect():
+        inner = re.search(r"<article>(.*)</article>", r["html"], re.S)[1]
+        lines = (" ".join(html.unescape(re.sub(r"<br>", " ", re.sub(r"</?b>", "", x))).split()) for x in block.split(inner))
+        assert r["text"] == "\n".join(x for x in lines if x)
+
+
+def test_op4_empty_table_and_very_long_page(spark):
+    df = spark.createDataFrame([(1, "u", f"<nav>menu</nav><p>{PROSE * 20_000}</p>")], "page_id long, url string, html string")
+    assert html_extract.main_text(df.limit(0)).count() == 0
+    (r,) = html_extract.main_text(df).collect()
+    assert r["text"] == (PROSE * 20_000).strip() and r["n_chars"] == len(r["text"])
+
+
 def test_op4_table(spark):
     df = spark.createDataFrame([(1, "u", "<p>é</p>", "x"), (1, "u", "<p>é</p>", "x"), (2, None, None, None)], "page_id long, url string, html string, text string")
     assert ids(tuple(r) for r in html_extract.main_text(df).collect()) == ids([(1, "u", "é", 1), (1, "u", "é", 1), (2, None, "", 0)])
