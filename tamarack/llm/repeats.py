@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from tamarack.llm.common import WS, dropped, released, staged
 
 BLOCK = 1 << 18
-BUCKET = 20_000
-ROWS = 4_096
+BUCKET = 8_192
+ROWS = 2_048
+WINDOWS = 1 << 18
 PIECE = 1 << 20
 _ONE = np.uint64(1)
 FULL = -(1 << 30)
@@ -112,14 +113,14 @@ class Bytes:
         return lambda b, e: text[b:e]
 
     @staticmethod
-    def grams(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """Values of the q-grams at all places of the texts in a row, where each text begins, and q."""
-        x = np.frombuffer(b"".join(texts) + bytes(8), np.uint8).astype(np.uint64)
-        q = min(8, length)
-        gram = x[: len(x) - 8].copy()
-        for j in range(1, q):
-            gram |= x[j : len(x) - 8 + j] << np.uint64(8 * j)
-        return gram, np.cumsum([0, *map(len, texts)])[:-1], q
+    def grid(texts: list[bytes], left: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """The texts as blocks of ``size`` symbols in a row, the block that begins at ``left`` in each, and ``size``. What fills the first
+        and the last block of a text is zero; a block of zeros is at each text's end."""
+        pad = -left % 8
+        raw = b"".join(bytes(p) + t + bytes(-(p + len(t)) % 8 + 8) for p, t in zip(pad.tolist(), texts, strict=True))
+        blocks = np.fromiter(map(len, texts), np.int64, len(texts)) + pad
+        blocks = -(-blocks // 8) + 1
+        return np.frombuffer(raw, "<u8").astype(np.uint64), np.cumsum(blocks) - blocks + (left + pad) // 8, 8
 
     @staticmethod
     def rest(text: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
@@ -152,11 +153,12 @@ class Words:
         return lambda b, e: b" ".join(own[b:e])
 
     @staticmethod
-    def grams(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, int]:
-        own = [t.split() for t in texts]
-        number: dict[bytes, int] = {}
-        ids = np.array([number.setdefault(w, len(number)) for t in own for w in t], np.int64)
-        return ids, np.cumsum([0, *map(len, own)])[:-1], 1
+    def grid(texts: list[bytes], left: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """The words' numbers in a row, the place of the word ``left`` of each text, and 1."""
+        number: dict[bytes, int] = {b"": 0}
+        own = [[number.setdefault(w, len(number)) for w in t.split()] for t in texts]
+        size = np.fromiter(map(len, own), np.int64, len(own)) + 1
+        return np.array([x for t in own for x in (*t, 0)], np.uint64), np.cumsum(size) - size + left, 1
 
     @staticmethod
     def rest(text: bytes, starts: np.ndarray, ends: np.ndarray) -> bytes:
@@ -305,21 +307,24 @@ class Bucketful:
     low: np.ndarray
     high: np.ndarray
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray]:
-        """Class and start (from the anchor) of all owned windows."""
-        size = self.high - self.low + 1
-        cls = np.repeat(np.arange(len(size)), size)
-        return cls, np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + self.low[cls]
+    def windows(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Class and start (from the anchor) of all owned windows, some starts at a time; windows of unlike starts are not equal."""
+        step = max(1, WINDOWS // max(1, len(self.low)))
+        for s in range(int(self.low.min(initial=0)), int(self.high.max(initial=-1)) + 1, step):
+            low, high = np.maximum(self.low, s), np.minimum(self.high, s + step - 1)
+            size = np.maximum(0, high - low + 1)
+            cls = np.repeat(np.arange(len(size)), size)
+            yield cls, np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + low[cls]
 
 
 @dataclass(frozen=True)
 class Finder:
-    """``unit``: what symbols are. ``solve``: classes of whole buckets -> which owned windows are shared by two classes.
+    """``unit``: what symbols are. ``solve``: classes of whole buckets -> class and start of the windows that two share.
     ``resolve``: table of windows -> classes with their first and last shared window; ``window`` makes more columns for it."""
 
     shape: Shape
     unit: type
-    solve: Callable[[Bucketful, type, Shape], np.ndarray]
+    solve: Callable[[Bucketful, type, Shape], Iterator[tuple[np.ndarray, np.ndarray]]]
     resolve: Callable[[DataFrame], DataFrame]
     window: Callable[[Sums, np.ndarray, np.ndarray], list[pa.Array]] | None = None
 
@@ -411,26 +416,32 @@ class Finder:
                 n += batch.num_rows
                 if n >= ROWS:
                     rows = pa.Table.from_batches(held).combine_chunks()
-                    a = rows.column(0).to_numpy()
-                    if cut := int(np.searchsorted(a, a[-1])):  # the last bucket may go on
-                        yield from found(rows.slice(0, cut))
-                        held = rows.slice(cut).combine_chunks().to_batches()
-                        n -= cut
+                    cut = yield from whole(rows, int(np.searchsorted(a := rows.column(0).to_numpy(), a[-1])))  # the last bucket may go on
+                    held, n = rows.slice(cut).combine_chunks().to_batches(), n - cut
             if held:
-                yield from found(pa.Table.from_batches(held).combine_chunks())
+                rows = pa.Table.from_batches(held).combine_chunks()
+                yield from whole(rows, rows.num_rows)
+
+        def whole(rows, end):
+            """Buckets up to row ``end``, about ``ROWS`` classes at a time."""
+            begin = np.flatnonzero(np.diff(rows.column(0).to_numpy()[:end], prepend=-1, append=-1)) if end else np.zeros(1, np.int64)
+            begin = np.unique([0, *begin.tolist(), end])
+            at = 0
+            while at < end:
+                to = max(int(begin[np.searchsorted(begin, at + ROWS, "right") - 1]), int(begin[np.searchsorted(begin, at, "right")]))
+                yield found(rows.slice(at, to - at))
+                at = to
+            return end
 
         def found(rows):
-            if not rows.num_rows:
-                return
             a, g, low, high, left = (rows.column(k).to_numpy() for k in range(5))
-            part = Bucketful(np.cumsum(np.concatenate([[0], a[1:] != a[:-1]])), rows.column(5).to_pylist(), left, low, high)
-            cls, start = part.windows()
-            own = np.flatnonzero(solve(part, unit, shape))
+            part = Bucketful(np.cumsum(np.concatenate([[0], a[1:] != a[:-1]])), rows.column(5).to_pylist(), left.astype(np.int64), low.astype(np.int64), high.astype(np.int64))
             first, last = np.full(len(a), 1 << 30), np.full(len(a), FULL)
-            np.minimum.at(first, cls[own], start[own])
-            np.maximum.at(last, cls[own], start[own])
+            for cls, start in solve(part, unit, shape):
+                np.minimum.at(first, cls, start)
+                np.maximum.at(last, cls, start)
             i = np.flatnonzero(last > FULL)
-            yield pa.RecordBatch.from_arrays([pa.array(a[i]), pa.array(g[i]), pa.array(first[i].astype(np.int32)), pa.array(last[i].astype(np.int32))], names=["a", "g", "first", "last"])
+            return pa.RecordBatch.from_arrays([pa.array(a[i]), pa.array(g[i]), pa.array(first[i].astype(np.int32)), pa.array(last[i].astype(np.int32))], names=["a", "g", "first", "last"])
 
         return contexts.repartition("a").sortWithinPartitions("a").mapInArrow(run, "a long, g long, first int, last int")
 

@@ -31,23 +31,21 @@ DEPTHS = (4, 8, 16, 24, 32)
 GROUP = 1_000_000
 
 
-def subtrees_in_memory(part: Bucketful, unit: type, shape: Shape) -> np.ndarray:
-    """Which owned windows are leaves under an inner node that is deep enough."""
-    words, begin, _ = unit.grams(part.texts, shape.length)
-    cls, start = part.windows()
-    at = begin[cls] + part.left[cls] + start
-    # the roots: prefixes of one owner that end with it differ in length
-    node, several = bucketed(part.bucket[cls] * (shape.width + 1) - start)
+def subtrees_in_memory(part: Bucketful, unit: type, shape: Shape):
+    """The owned windows that are leaves under an inner node which is deep enough."""
+    words, anchor, _ = unit.grid(part.texts, part.left)
     many = int(words.max(initial=0)) + 1
-    for depth in range(shape.length):
-        if not len(several):
-            break
-        child, shared = bucketed(node[several] * many + words[at[several] + depth])
-        node[several] = child
-        several = several[shared]
-    out = np.zeros(len(at), bool)
-    out[several] = True
-    return out
+    words = words.astype(np.int64)
+    for cls, start in part.windows():
+        at = anchor[cls] + start
+        # the roots: prefixes of one owner that end with it differ in length
+        node, several = bucketed(part.bucket[cls] * shape.width - start)
+        for depth in range(shape.length):
+            if not len(several):
+                break
+            node[several], shared = bucketed(node[several] * many + words[at[several] + depth])
+            several = several[shared]
+        yield cls[several], start[several]
 
 
 def _paths(sums: Sums, start: np.ndarray, end: np.ndarray) -> list[pa.Array]:

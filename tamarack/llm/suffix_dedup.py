@@ -1,10 +1,12 @@
 """Exact substring dedup over bytes or words: suffix-array buckets refined by bucket pointers of later offsets.
 
 Suffixes start in q-gram buckets. A bucket of one is final. The others are refined in memory, together for all texts around the
-anchors of some buckets (see ``repeats``): each suffix holds a pointer to its bucket, first that of its first q symbols. Suffixes that
-are not alone are sorted by their own pointer and that of the suffix ``h`` places later, which tells 2 h symbols apart; the new
+anchors of some buckets (see ``repeats``). These texts are blocks of eight bytes (or single words), counted from the anchor, as equal
+windows lie alike around it; each suffix that starts a block holds a pointer to its bucket, first that of its block. Suffixes
+that are not alone are sorted by their own pointer and that of the suffix ``h`` blocks later, which tells 2 h blocks apart; the new
 pointers stay inside the old bucket's range, so those of all other suffixes remain valid, and later rounds sort by them at once. The
-rounds end at the window length. The symbols themselves are compared, so equality is exact.
+rounds end at the blocks that a window holds whole; a last sort tells windows apart by these and by the bytes at either end.
+The symbols themselves are compared, so equality is exact.
 
 Null texts are empty. Texts shorter than the window stay whole. Rows that repeat a text repeat each other and are removed
 in full. An empty table gives an empty result; extra columns, whatever their names, are ignored or kept as they are. Very long
@@ -27,28 +29,44 @@ LENGTH, GRAM = 400, 160
 PASSAGE = 50
 
 
-def refined_in_memory(part: Bucketful, unit: type, shape: Shape) -> np.ndarray:
-    """Which owned windows another class has too."""
-    grams, begin, h = unit.grams(part.texts, shape.length)
-    pointer, several = bucketed(grams)
+def refined_in_memory(part: Bucketful, unit: type, shape: Shape):
+    """The owned windows that another class has too."""
+    blocks, anchor, size = unit.grid(part.texts, part.left)
+    whole = (shape.length - size) // size
+    pointer, several = bucketed(blocks)
     end = len(pointer)
     pointer = np.append(pointer, end)
-    while h < shape.length and len(several):
-        far = min(h, shape.length - h)
+    h = 1
+    while h < whole and len(several):
+        far = min(h, whole - h)
         own, later = pointer[several], pointer[np.minimum(several + far, end)]
         order = np.argsort(own * (end + 1) + later, kind="stable")
         several, own, later = several[order], own[order], later[order]
         new = np.concatenate([[True], own[1:] != own[:-1]])
         split = new | np.concatenate([[True], later[1:] != later[:-1]])
-        place = np.arange(len(own))
         first = np.flatnonzero(split)
-        size = np.diff([*first, len(own)])
-        pointer[several] = own + np.repeat(first, size) - np.maximum.accumulate(np.where(new, place, 0))
-        several = several[np.repeat(size > 1, size)]
+        n = np.diff([*first, len(own)])
+        pointer[several] = own + np.repeat(first, n) - np.maximum.accumulate(np.where(new, np.arange(len(own)), 0))
+        several = several[np.repeat(n > 1, n)]
         h += far
-    cls, start = part.windows()
-    _, name, n = np.unique(pointer[begin[cls] + part.left[cls] + start], return_inverse=True, return_counts=True)
-    return n[name] > 1
+    shared = np.zeros(end, bool)
+    shared[several] = True
+    for cls, start in part.windows():
+        block, into = anchor[cls] + start // size, start % size
+        open_ = np.flatnonzero(shared[block + 1])
+        cls, start, block, into = cls[open_], start[open_], block[open_], into[open_]
+        # the begin of the window, before its whole blocks, and its end; the zeros that shifts leave are alike for equal starts
+        bits = (8 * into).astype(np.uint64)
+        begin, rest = blocks[block] >> bits, shape.length - (size - into) - whole * size
+        keys = [pointer[block + 1] * (2 * shape.width) + start + shape.width, begin]
+        for k in range(2 if size > 1 else 0):
+            keep = np.clip(rest - k * size, 0, size)
+            edge = blocks[np.minimum(block + 1 + whole + k, end - 1)] << np.uint64(8) * (size - np.maximum(keep, 1)).astype(np.uint64)
+            keys.append(np.where(keep > 0, edge, 0))
+        order = np.lexsort(keys[::-1])
+        same = np.logical_and.reduce([x[order][1:] == x[order][:-1] for x in keys]) if len(order) else np.zeros(0, bool)
+        both = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])] if len(order) else order
+        yield cls[both], start[both]
 
 
 def refined(windows: DataFrame) -> DataFrame:
