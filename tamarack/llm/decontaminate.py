@@ -1,25 +1,29 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Words (lower case, without marks at their ends) of the benchmark items are the vocabulary; documents are cut into passages.
-2. One pass counts documents by word (for the inverse document frequencies), a second one multiplies the TF-IDF matrix A of all
+1. Words are lower case, without marks at their ends. Those of the benchmark items have numbers of their own, all others of the corpus
+   share ``2**hashed`` numbers; documents are cut into passages.
+2. One pass counts documents by number (for the inverse document frequencies), a second one multiplies the TF-IDF matrix A of all
    passages and its transpose with a random matrix: Z = A'A G, summed by blocks of words. From Z, the driver computes the
-   leading right singular vectors (randomised SVD in Nystrom form). Z has a row for each word of the vocabulary.
-3. A third pass slides windows over all documents. Items meet windows of one of four widths, at least as long as they
-   are; longer items are cut into pieces. Candidates are pairs whose window has ``paraphrase`` of the item's words, in any order and
-   common ones included, which the rule of step 4 implies. They are projected and checked by falling cosine.
+   leading right singular vectors (randomised SVD in Nystrom form). What of a word lies outside their space, which for rare words is
+   most, is kept as a random projection of ``rest`` dimensions.
+3. A third pass slides windows over all documents and finds candidates by cosine. Items meet windows of one of six widths, at
+   least as long as they are; longer items are cut into pieces. A pair is a candidate if its cosine over all dimensions is ``cosine`` of
+   what an item would have among unlike words, or if its cosine in the latent space alone is ``near``.
 4. A candidate leaks if the longest common subsequence covers ``lcs`` of the item's words; or ``paraphrase`` of them if it also
-   holds ``answer`` of the item's answer, its last sentence.
+   holds ``answer`` of the item's answer, its last sentence; or ``reworded`` and the answer if it is also ``near`` in the latent space.
 
 The benchmark is worked off in blocks of items with at most ``block_bytes`` of text, so what is sent to the executors is bounded
 whatever its size; each block meets all documents. Null texts have no words and leak nothing; null ids stay null; rows that
-repeat an id are one; empty tables give an empty result; extra columns are ignored. Long texts are projected in stretches, but
-checked as a whole: the subsequence is sought in the candidate's window and, on either side, as many words as the window or the item has.
+repeat an id are one; empty tables give an empty result; extra columns, whatever their names, are ignored. Long texts are projected in
+stretches, but checked as a whole: the subsequence is sought in the candidate's window and, on either side, as many words as the window
+or the item has.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -32,10 +36,11 @@ from pyspark.sql import functions as F
 from tamarack.llm.common import staged
 
 STEP = 8
-WIDTHS = (24, 48, 96, 192)
+WIDTHS = (24, 48, 72, 96, 144, 192)
 STRETCH = 1 << 15
-GROUP = 1024  # items that are counted together
+GROUP = 1024  # items that are searched for together
 DENSE = 1 << 24  # cells of a table of words by items; larger ones are lists
+CACHE = 400_000
 _EDGE = re.compile(r"^\W+|\W+$")
 _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 
@@ -43,12 +48,16 @@ _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 @dataclass(frozen=True)
 class Params:
     rank: int = 64
-    over: int = 16
-    common: float = 0.05  # words in more of the documents weigh nothing, unless all of an item's words are common
+    over: int = 8
+    rest: int = 32
+    hashed: int = 15
+    cosine: float = 0.4
+    near: float = 0.8
     lcs: float = 0.8
     paraphrase: float = 0.6
+    reworded: float = 0.5
     answer: float = 0.8
-    block_bytes: int = 16 << 20
+    block_bytes: int = 4 << 20
     seed: int = 17
 
 
@@ -61,37 +70,37 @@ def tokens(text: str) -> list[str]:
 
 
 class Vocabulary:
-    """Numbers of words: -1 for others; words of marks only do not count. Raw forms of vocabulary words are kept as they come up."""
+    """Numbers of words: those of the benchmark, then shared ones for all others. Words of marks only do not count. Raw forms are kept
+    as they come up."""
 
-    def __init__(self, words: list[str]):
+    def __init__(self, words: list[str], hashed: int):
         self.own = {w: k for k, w in enumerate(words)}
         self.seen = dict(self.own)
+        self.shared = 1 << hashed
+
+    def number(self, raw: str) -> int:
+        word = plain(raw)
+        if not word:
+            return -1
+        k = self.own.get(word, -1)
+        return k if k >= 0 else len(self.own) + zlib.crc32(word.encode("utf-8", "surrogatepass")) % self.shared
 
     def read(self, text: str | None) -> np.ndarray:
         raw = (text or "").lower().split()
-        ids = np.fromiter(map(self.seen.get, raw, repeat(-3)), np.int32, len(raw))
-        for i in np.flatnonzero(ids == -3).tolist():
-            if raw[i].isalnum():
-                ids[i] = -1
-            else:
-                w = _EDGE.sub("", raw[i])
-                ids[i] = k = self.own.get(w, -1) if w else -2
-                if k >= 0:
-                    if len(self.seen) > 400_000 + len(self.own):
-                        self.seen = dict(self.own)
-                    self.seen[raw[i]] = k
-        return ids[ids > -2]
-
-
-def weights(n: int, df: np.ndarray, items: list, p: Params) -> np.ndarray:
-    """Inverse document frequencies, zero for common words."""
-    idf = np.log1p(n / np.maximum(df, 1))
-    rare = df <= p.common * n
-    for own in items:
-        for x in own:
-            if not rare[x.piece].any():
-                rare[x.piece] = True
-    return np.where(rare, idf, 0.0)
+        ids = np.fromiter(map(self.seen.get, raw, repeat(-2)), np.int32, len(raw))
+        new = np.flatnonzero(ids == -2).tolist()
+        if new:
+            room = CACHE + len(self.own) - len(self.seen)
+            got = [self.number(raw[i]) for i in new]
+            ids[new] = got
+            if room > 0:
+                self.seen.update(zip([raw[i] for i in new[:room]], got[:room], strict=True))
+        return ids[ids >= 0]
+
+
+def weights(n: int, df: np.ndarray) -> np.ndarray:
+    """Inverse document frequencies; common words weigh little, but something, as an item may have no others left."""
+    return np.log1p(n / np.maximum(df, 1))
 
 
 @dataclass
@@ -139,13 +148,13 @@ def _once(key, make):
     return _kept["value"]
 
 
-def _read(docs: DataFrame, words: list[str]) -> DataFrame:
-    """``doc_id, ids``: each text as numbers of vocabulary words (32-bit, -1 for others), written once for the passes that follow."""
+def _read(docs: DataFrame, words: list[str], hashed: int) -> DataFrame:
+    """``doc_id, ids``: each text as numbers of words (32-bit), written once for the passes that follow."""
     shared = docs.sparkSession.sparkContext.broadcast(words)
     tag = uuid.uuid4().hex
 
     def run(batches):
-        vocab = _once(("v", tag), lambda: Vocabulary(shared.value))
+        vocab = _once(("v", tag), lambda: Vocabulary(shared.value, hashed))
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([vocab.read(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())], names=["doc_id", "ids"])
 
@@ -161,9 +170,8 @@ def _frequencies(read: DataFrame, size: int) -> tuple[int, np.ndarray]:
         n, df = 0, np.zeros(size + 1, np.int64)
         for batch in batches:
             for raw in batch.column(0):
-                ids = np.unique(numbers(raw))
                 n += 1
-                df[ids[ids >= 0]] += 1
+                df[np.unique(numbers(raw))] += 1
         df[-1] = n
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(df[at])], names=["w", "n"])
@@ -178,7 +186,7 @@ def _passages(ids: np.ndarray, idf: np.ndarray, width: int) -> Iterator[tuple[np
     """Entries of normalised TF-IDF rows: row starts, words, values."""
     for x in range(0, len(ids), STRETCH * width):
         part = ids[x : x + STRETCH * width]
-        at = np.flatnonzero((part >= 0) & (idf[part] > 0))
+        at = np.flatnonzero(idf[part] > 0)
         if not len(at):
             continue
         key, n = np.unique(at // width * len(idf) + part[at], return_counts=True)
@@ -192,9 +200,9 @@ def _passages(ids: np.ndarray, idf: np.ndarray, width: int) -> Iterator[tuple[np
 def _basis(read: DataFrame, idf: np.ndarray, p: Params) -> np.ndarray:
     """Leading right singular vectors of the passages' TF-IDF matrix, a row for each word."""
     size, cols = len(idf), min(p.rank + p.over, len(idf))
-    shared = read.sparkSession.sparkContext.broadcast(idf)
+    shared = read.sparkSession.sparkContext.broadcast(np.append(idf, 0.0))
     tag = uuid.uuid4().hex
-    rows_of = 512  # words in a block of Z
+    rows_of = 128  # words in a block of Z
 
     def random():
         return np.random.default_rng(p.seed).standard_normal((size, cols)).astype(np.float32)
@@ -229,7 +237,7 @@ def _basis(read: DataFrame, idf: np.ndarray, p: Params) -> np.ndarray:
             texts, length = [], 0
             for raw in batch.column(0):
                 ids = numbers(raw)
-                texts += [ids, np.full(-len(ids) % WIDTHS[1], -1, np.int32)]  # each text begins a passage of its own
+                texts += [ids, np.full(-len(ids) % WIDTHS[1], size, np.int32)]  # each text begins a passage of its own
                 length += len(ids)
                 if length > STRETCH:
                     take(texts)
@@ -238,6 +246,8 @@ def _basis(read: DataFrame, idf: np.ndarray, p: Params) -> np.ndarray:
                 take(texts)
         added()
         for b in range(0, size, rows_of):
+            if not z[b : b + rows_of].any():
+                continue
             yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([z[b : b + rows_of].tobytes()], pa.binary())], names=["b", "z"])
 
     def summed(batches):
@@ -250,7 +260,9 @@ def _basis(read: DataFrame, idf: np.ndarray, p: Params) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["b", "z"])
 
     z = np.zeros((size, cols))
-    parts = read.select("ids").mapInArrow(run, "b int, z binary").repartition("b").mapInArrow(summed, "b int, z binary")
+    # a task's Z has a size of its own, so there are no more of them than the cluster works off in two rounds
+    some = read.select("ids").coalesce(2 * read.sparkSession.sparkContext.defaultParallelism)
+    parts = some.mapInArrow(run, "b int, z binary").repartition("b").mapInArrow(summed, "b int, z binary")
     for r in parts.collect():  # a row for each word, in blocks
         x = np.frombuffer(bytes(r["z"]), np.float64).reshape(-1, cols)
         z[r["b"] : r["b"] + len(x)] = x
@@ -264,36 +276,51 @@ def _basis(read: DataFrame, idf: np.ndarray, p: Params) -> np.ndarray:
     return u[:, : p.rank].astype(np.float32)
 
 
-def _postings(items: list[Item], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each word the items of a group whose piece has it: where they begin, their places, and how often the piece has it."""
-    keys, times = np.unique(np.concatenate([x.piece.astype(np.int64) * len(items) + k for k, x in enumerate(items)]), return_counts=True)
-    word, item = keys // len(items), keys % len(items)
-    return np.searchsorted(word, np.arange(size + 1)), item, times
+def _projection(idf: np.ndarray, basis: np.ndarray, p: Params) -> np.ndarray:
+    """A row for each word: its place in the latent space, and a random projection of the rest; weighted. The last row, for no word, is 0."""
+    r = np.random.default_rng(p.seed + 1).choice(np.array([-1, 1], np.float32), (len(idf), p.rest)) / np.float32(np.sqrt(max(1, p.rest)))
+    r -= basis @ (basis.T @ r)
+    return np.vstack([np.hstack([basis, r]) * idf[:, None].astype(np.float32), np.zeros((1, basis.shape[1] + p.rest), np.float32)])
+
+
+def _fresh(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which words do not repeat one of the ``WIDTHS[0]`` places before: a word that a text repeats over and over weighs once."""
+    order = np.argsort(ids, kind="stable")
+    again = (ids[order][1:] == ids[order][:-1]) & (at[order][1:] - at[order][:-1] < WIDTHS[0])
+    out = np.ones(len(ids), bool)
+    out[order[1:][again]] = False
+    return out
 
 
 class Search:
-    """Finds the items of a block in one document."""
+    """Finds the items of a block in documents."""
 
-    def __init__(self, items: list[Item], idf: np.ndarray, basis: np.ndarray, p: Params):
+    def __init__(self, items: list[Item], idf: np.ndarray, basis: np.ndarray, n_own: int, p: Params):
         self.p = p
-        self.idf = np.append(idf, 0.0)
-        self.low = np.vstack([basis * idf[:, None].astype(np.float32), np.zeros((1, basis.shape[1]), np.float32)])
+        self.n_own = n_own
+        self.none = len(idf)
+        self.weighs = np.append(idf, 0.0) > 0
+        self.low = _projection(idf, basis, p)
+        self.rank = basis.shape[1]
         self.groups = []
         for width in WIDTHS:
             of = [x for x in items if width_of(len(x.piece)) == width]
             for k in range(0, len(of), GROUP):
                 own = of[k : k + GROUP]
-                v = np.stack([self.low[x.piece].sum(axis=0) for x in own])
-                least = p.paraphrase * np.array([len(x.piece) for x in own]) - 1e-9
-                first, place, times = _postings(own, len(idf))
-                has = None
-                if len(own) * (len(idf) + 1) <= DENSE:
-                    has = np.zeros((len(idf) + 1, len(own)), np.uint8)
-                    has[np.repeat(np.arange(len(idf)), np.diff(first)), place] = 1
-                self.groups.append((width, own, v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12), least, (first, place, times), has))
-
-    def found(self, texts: list[np.ndarray]) -> list[dict[int, tuple[float, float]]]:
-        """For each document: item id -> best (share of the item, share of its answer). Short documents are worked off together."""
+                n = np.array([len(x.piece) for x in own])
+                v = np.stack([self.low[x.piece[_fresh(x.piece, np.arange(len(x.piece)))]].sum(axis=0) for x in own])
+                unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+                least = (p.cosine * np.sqrt(np.minimum(1.0, n / width))).astype(np.float32)
+                keys = np.unique(np.concatenate([x.piece.astype(np.int64) + j * n_own for j, x in enumerate(own)]))
+                table = None
+                if len(own) * n_own <= DENSE:
+                    table = np.zeros(len(own) * n_own, bool)
+                    table[keys] = True
+                self.groups.append((width, own, n, unit(v).T.copy(), unit(v[:, : self.rank]).T.copy(), least, keys, table))
+
+    def found(self, texts: list[np.ndarray]) -> list[dict[int, tuple[float, float, float]]]:
+        """For each document: item id -> best (share of the item, share of its answer, latent cosine). Short documents are worked off
+        together."""
         out: list[dict] = [{} for _ in texts]
         held, size = [], 0
         for ids, own in zip(texts, out, strict=True):
@@ -312,101 +339,84 @@ class Search:
         n_blocks = np.array([-(-len(ids) // STEP) for ids, *_ in held])
         first = np.cumsum(n_blocks) - n_blocks
         blocks = int(n_blocks.sum())
-        ids = np.full(blocks * STEP, -1, np.int32)
+        ids = np.full((blocks + WIDTHS[-1] // STEP) * STEP, self.none, np.int32)
         for (own, *_), b in zip(held, first.tolist(), strict=True):
             ids[b * STEP : b * STEP + len(own)] = own
-        known = np.concatenate([[0], np.cumsum((ids >= 0).reshape(-1, STEP).sum(axis=1))])
-        passed, needed = [], np.zeros(blocks + 1, np.int32)
-        for width, items, _, least, postings, has in self.groups:
+        low = np.zeros((blocks + 1, self.low.shape[1]), np.float32)
+        at = np.flatnonzero(self.weighs[ids])
+        at = at[_fresh(ids[at], at + 2 * WIDTHS[0] * np.searchsorted(first * STEP, at, "right"))]  # texts are far apart
+        if not len(at):
+            return
+        block = at // STEP
+        begin = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
+        low[block[begin] + 1] = np.add.reduceat(self.low[ids[at]], begin, axis=0)
+        np.cumsum(low, axis=0, out=low)
+        for width, items, n_words, whole, latent, least, keys, table in self.groups:
             n = width // STEP
             count = -(-np.maximum(1, n_blocks - n + n // 3) // (n // 3))
             text = np.repeat(np.arange(len(held)), count)
             start = first[text] + (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * (n // 3)
             end = np.minimum(start + n, (first + n_blocks)[text])
-            keep = known[end] - known[start] >= least.min()
-            start, end, text = start[keep], end[keep], text[keep]
-            # places with a word of the item, then the item's words that the window has: neither is less than any common subsequence
-            sums = self._counts(ids, postings, has, len(items))
-            window, item = np.nonzero(sums[end] - sums[start] >= least)
-            if len(window):
-                used, row = np.unique(window, return_inverse=True)
-                start, end, text = start[used], end[used], text[used]
-                near = self._shared(ids, start * STEP, end * STEP, postings, len(items))[row, item] >= least[item]
-                window, item = row[near], item[near]
-            passed.append((start, end, text, window, item))
-            if len(window):
-                np.add.at(needed, start[window], 1)
-                np.add.at(needed, end[window], -1)
-        needed = np.cumsum(needed[:-1]) > 0
-        if not needed.any():
-            return
-        place = np.concatenate([[0], np.cumsum(needed)])  # of a block among the needed ones
-        at = np.flatnonzero((self.idf[ids] > 0) & np.repeat(needed, STEP)[: len(ids)])
-        block = place[at // STEP]
-        low = np.zeros((place[-1] + 1, self.low.shape[1]), np.float32)
-        if len(at):
-            begin = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
-            low[block[begin] + 1] = np.add.reduceat(self.low[ids[at]], begin, axis=0)
-        np.cumsum(low, axis=0, out=low)
-        for (_, items, vectors, *_), (start, end, text, window, item) in zip(self.groups, passed, strict=True):
-            v = low[place[end[window]]] - low[place[start[window]]]
-            v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-            order = np.argsort(-(v * vectors[item]).sum(axis=1), kind="stable")  # the nearest first: an item found whole is not checked again
-            done = set()
-            for w, i in zip(window[order].tolist(), item[order].tolist(), strict=True):
-                t = int(text[w])
-                _, own, whole, shift = held[t]
-                a, b = (int(x - first[t]) * STEP + shift for x in (start[w], end[w]))
-                n = len(items[i].ids)
-                if n > WIDTHS[-1]:  # its pieces' windows within a cell of the item's length share one check
-                    cell = (t, id(items[i].ids), a // n)
-                    if cell in done:
-                        continue
-                    done.add(cell)
-                    a, b = a // n * n, a // n * n + n + WIDTHS[-1]
-                reach = max(b - a, n) if n <= WIDTHS[-1] else n
-                self._checked(items[i], whole[max(0, a - reach) : b + reach], own)
-
-    def _counts(self, ids: np.ndarray, postings: tuple, has: np.ndarray | None, n_items: int) -> np.ndarray:
-        """(blocks + 1, items): running numbers of places whose word the item has."""
-        blocks = len(ids) // STEP
-        out = np.zeros((blocks + 1, n_items), np.int32)
-        if has is not None:
-            for x in range(0, blocks, 512):
-                out[x + 1 : x + 513] = has[ids[x * STEP : (x + 512) * STEP]].reshape(-1, STEP, n_items).sum(axis=1, dtype=np.uint8)
-        else:
-            first, items, _ = postings
-            at = np.flatnonzero(ids >= 0)
-            n = first[ids[at] + 1] - first[ids[at]]
-            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[ids[at]], n)
-            out[1:] = np.bincount(np.repeat(at // STEP, n) * n_items + items[place], minlength=blocks * n_items).reshape(blocks, n_items)
-        return np.cumsum(out, axis=0, out=out)
-
-    def _shared(self, ids: np.ndarray, begin: np.ndarray, end: np.ndarray, postings: tuple, n_items: int) -> np.ndarray:
-        """(windows, items): how many of the item's words the window has, common ones and repeats in the item included."""
-        at = begin[:, None] + np.arange(int((end - begin).max()))
-        at = np.minimum(at, len(ids) - 1)
-        row, col = np.nonzero((ids[at] >= 0) & (at < end[:, None]))
-        key = np.unique(row * len(self.idf) + ids[at[row, col]])
-        row, word = key // len(self.idf), key % len(self.idf)
-        first, items, times = postings
-        n = first[word + 1] - first[word]
-        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[word], n)
-        return np.bincount(np.repeat(row, n) * n_items + items[place], times[place], len(begin) * n_items).reshape(len(begin), n_items)
-
-    def _checked(self, item: Item, around: np.ndarray, out: dict) -> None:
-        if out.get(item.item_id, (0.0, 0.0))[0] == 1.0:
+            some = max(1, (1 << 21) // len(items))
+            for x in range(0, len(start), some):
+                v = low[end[x : x + some]] - low[start[x : x + some]]
+                square = v * v
+                near = v[:, : self.rank] @ latent / np.maximum(np.sqrt(square[:, : self.rank].sum(axis=1, keepdims=True)), 1e-12)
+                over = v @ whole >= least * np.maximum(np.sqrt(square.sum(axis=1, keepdims=True)), 1e-12)
+                close = near >= self.p.near
+                window, item = np.nonzero(over | close)
+                if not len(window):
+                    continue
+                near, close = near[window, item], close[window, item]
+                window += x
+                # no common subsequence has more words than there are places with a word of the item
+                share = np.where(close, min(self.p.reworded, self.p.paraphrase), self.p.paraphrase)
+                keep = np.concatenate([self._places(ids, start[window[k : k + 4096]], width, item[k : k + 4096], keys, table) for k in range(0, len(window), 4096)]) >= share * n_words[item] - 1e-9
+                window, item, near = window[keep], item[keep], near[keep]
+                self._check(held, items, first, text, start, end, window, item, near)
+
+    def _places(self, ids: np.ndarray, start: np.ndarray, width: int, item: np.ndarray, keys: np.ndarray, table: np.ndarray | None) -> np.ndarray:
+        """For each pair of window and item, how many of the window's places have a word of the item."""
+        word = ids[start[:, None] * STEP + np.arange(width)]
+        key = item[:, None].astype(np.int64) * self.n_own + word
+        own = word < self.n_own
+        if table is not None:
+            return (table[np.where(own, key, 0)] & own).sum(axis=1)
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return ((keys[at] == key) & own).sum(axis=1)
+
+    def _check(self, held, items, first, text, start, end, window, item, near) -> None:
+        done = set()
+        for k in np.argsort(-near, kind="stable").tolist():  # the nearest first: an item found whole is not checked again
+            w, i = int(window[k]), int(item[k])
+            t = int(text[w])
+            _, own, whole, shift = held[t]
+            a, b = (int(x - first[t]) * STEP + shift for x in (start[w], end[w]))
+            n = len(items[i].ids)
+            if n > WIDTHS[-1]:  # its pieces' windows within a cell of the item's length share one check
+                cell = (t, id(items[i].ids), a // n)
+                if cell in done:
+                    continue
+                done.add(cell)
+                a, b = a // n * n, a // n * n + n + WIDTHS[-1]
+            reach = max(b - a, n) if n <= WIDTHS[-1] else n
+            self._checked(items[i], whole[max(0, a - reach) : b + reach], float(near[k]), own)
+
+    def _checked(self, item: Item, around: np.ndarray, near: float, out: dict) -> None:
+        p = self.p
+        if out.get(item.item_id, (0.0,))[0] == 1.0:
             return
         share = lcs(item.ids, around) / len(item.ids)
-        if share < self.p.paraphrase:
+        if share < (p.reworded if near >= p.near else p.paraphrase):
             return
         answer = lcs(item.answer, around) / len(item.answer)
-        if share >= self.p.lcs or answer >= self.p.answer:
-            out[item.item_id] = max(out.get(item.item_id, (0.0, 0.0)), (share, answer))
+        if share >= p.lcs or answer >= p.answer:
+            out[item.item_id] = max(out.get(item.item_id, (0.0, 0.0, 0.0)), (share, answer, near))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
-    """``doc_id, item_id, lcs_share, answer_share``: a row for each document and each item that it holds."""
+    """``doc_id, item_id, lcs_share, answer_share, cosine``: a row for each document and each item that it holds; the cosine is that of
+    the latent space."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(F.col("text").isNotNull())
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -419,19 +429,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFr
             found = _leaks(docs, sorted(rows, key=lambda r: (r[0] is None, r)), p)
             out = found if out is None else out.unionAll(found)
     if out is None:
-        return spark.createDataFrame([], "doc_id long, item_id long, lcs_share double, answer_share double")
-    return out.groupBy("doc_id", "item_id").agg(F.max("lcs_share").alias("lcs_share"), F.max("answer_share").alias("answer_share"))
+        return spark.createDataFrame([], "doc_id long, item_id long, lcs_share double, answer_share double, cosine double")
+    return out.groupBy("doc_id", "item_id").agg(*[F.max(c).alias(c) for c in ("lcs_share", "answer_share", "cosine")])
 
 
 def _leaks(docs: DataFrame, rows: list[tuple], p: Params) -> DataFrame:
     words = sorted({w for _, t in rows for w in tokens(t)})
     number = {w: k for k, w in enumerate(words)}
-    read = _read(docs, words)
-    n, df = _frequencies(read, len(words))
-    idf = weights(n, df, [Item.cut(k, t, number) for k, t in rows], p)
-    basis = _basis(read, idf, p)
+    read = _read(docs, words, p.hashed)
+    n, df = _frequencies(read, len(words) + (1 << p.hashed))
     items = [x for k, t in rows for x in Item.cut(k, t, number)]
-    shared = docs.sparkSession.sparkContext.broadcast((items, idf, basis))
+    idf = weights(n, df)
+    shared = docs.sparkSession.sparkContext.broadcast((items, idf, _basis(read, idf, p), len(words)))
     tag = uuid.uuid4().hex
 
     def run(batches):
@@ -440,13 +449,17 @@ def _leaks(docs: DataFrame, rows: list[tuple], p: Params) -> DataFrame:
             texts = [numbers(t) for t in batch.column(1)]
             got = [(d, i, *s) for d, own in zip(batch.column(0).to_pylist(), search.found(texts), strict=True) for i, s in own.items()]
             if got:
-                d, i, s, a = zip(*got, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(i, pa.int64()), pa.array(s, pa.float64()), pa.array(a, pa.float64())], names=["doc_id", "item_id", "lcs_share", "answer_share"])
+                d, i, *scores = zip(*got, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(i, pa.int64()), *(pa.array(x, pa.float64()) for x in scores)], names=["doc_id", "item_id", "lcs_share", "answer_share", "cosine"])
 
-    return read.mapInArrow(run, "doc_id long, item_id long, lcs_share double, answer_share double")
+    return read.mapInArrow(run, "doc_id long, item_id long, lcs_share double, answer_share double, cosine double")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
-    """The documents that hold no item. Rows without an id stay unless a row without one leaks."""
-    bad = staged(leaks(docs, benchmark, p).select(F.col("doc_id").alias("__tk_id")).distinct(), "leaking")
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__tk_id")), "left_anti")
+    """The documents that hold no item. Rows are told apart by id and text, so of rows that share an id, or have none, only those that
+    leak go."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    name = F.xxhash64(F.col("doc_id").cast("long"), text, F.lit(10))
+    named = docs.select(name.alias("doc_id"), "text")
+    bad = staged(leaks(named, benchmark, p).select(F.col("doc_id").alias("__tk_name")).distinct(), "leaking")
+    return docs.withColumn("__tk_row", name).join(bad, F.col("__tk_row") == F.col("__tk_name"), "left_anti").drop("__tk_row")

@@ -412,22 +412,89 @@ def test_op10_items_of_common_words(spark):
 
 
 @pytest.mark.parametrize("dense", [1 << 24, 0])
-def test_op10_counts(monkeypatch, dense):
+def test_op10_places(monkeypatch, dense):
     monkeypatch.setattr(decontaminate, "DENSE", dense)
     pieces = [np.array(random.choices(range(30), k=15), np.int32) for _ in range(7)]
     items = [decontaminate.Item(k, x, x[-5:], x) for k, x in enumerate(pieces)]
-    search = decontaminate.Search(items, np.ones(30), np.ones((30, 2), np.float32), decontaminate.Params())
-    ids = np.array(random.choices(range(-1, 30), k=80), np.int32)
-    (_, _, _, _, postings, has) = search.groups[0]
-    assert (has is None) == (dense == 0)
-    want = [[sum(int(x) in set(p.tolist()) for x in ids[:n]) for p in pieces] for n in range(0, 81, 8)]
-    assert search._counts(ids, postings, has, 7).tolist() == want
-    assert search._shared(ids, np.array([0]), np.array([24]), postings, 7).tolist() == [[sum(int(x) in set(ids[:24].tolist()) for x in p) for p in pieces]]
+    search = decontaminate.Search(items, np.ones(40), np.ones((40, 2), np.float32), 30, decontaminate.Params())
+    ids = np.array(random.choices(range(41), k=80), np.int32)
+    ((width, _, n, _, _, _, keys, table),) = search.groups
+    assert (table is None) == (dense == 0) and width == 24 and n.tolist() == [15] * 7
+    start, item = np.repeat(np.arange(7), 7), np.tile(np.arange(7), 7)
+    want = [sum(int(x) in set(pieces[i].tolist()) for x in ids[8 * s : 8 * s + 24]) for s, i in zip(start, item, strict=True)]
+    assert search._places(ids, start, 24, item, keys, table).tolist() == want
+
+
+def reworded_corpus():
+    """Documents of 30 topics, each with 40 notions that two words name; items, and their texts with other words for some notions."""
+    draw = random.Random(3)
+    word = lambda t, k, form=None: f"{'ab'[draw.randrange(2) if form is None else form]}{t}x{k}"
+    rows = [(i, " ".join(word(i % 30, draw.randrange(40)) for _ in range(90))) for i in range(1500)]
+    items, ids = [], set()
+    for t in range(30):
+        own = draw.sample(range(40), 26)
+        text = lambda forms: " ".join(word(t, k, f) for k, f in zip(own[:20], forms, strict=True)) + ". " + " ".join(word(t, k, 0) for k in own[20:]) + "."  # noqa: B023, E731
+        items.append((t, text([0] * 20)))
+        other = set(draw.sample(range(20), 13))  # half of all words
+        rows.append((5000 + t, f"{' '.join(word(t, draw.randrange(40)) for _ in range(30))} {text([int(j in other) for j in range(20)])} {' '.join(word(t, draw.randrange(40)) for _ in range(30))}"))
+        ids.add((5000 + t, t))
+    return rows, items, ids
+
+
+def test_op10_latent_space_finds_other_words(spark, monkeypatch):
+    rows, items, want = reworded_corpus()
+    df, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    p = decontaminate.Params(rank=32)
+    found = lambda: {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(df, bench, p).collect()}
+    own = found()
+    assert own <= want and len(own) >= 0.9 * len(want)
+
+    def random_basis(read, idf, p):
+        return np.linalg.qr(np.random.default_rng(1).standard_normal((len(idf), p.rank)))[0].astype(np.float32)
+
+    monkeypatch.setattr(decontaminate, "_basis", random_basis)
+    assert len(found()) < 0.5 * len(own)
+
+
+def test_op10_recall_against_full_search(spark):
+    """Items with lost and replaced words among other text: what the cosine finds of all that meet the rule."""
+    draw = random.Random(9)
+    word = lambda: f"w{int(3000 * draw.random() ** 3)}"
+    items = [(k, " ".join(word() for _ in range(draw.randrange(12, 60))) + ". " + " ".join(word() for _ in range(6)) + ".") for k in range(40)]
+    rows = [(i, " ".join(word() for _ in range(150))) for i in range(600)]
+    for k, t in items:
+        for j, share in enumerate((0.0, 0.1, 0.2, 0.3, 0.38)):
+            w = t.split()
+            for x in draw.sample(range(len(w) - 6), int(share * (len(w) - 6))):
+                w[x] = word()
+            rows.append((1000 + 10 * k + j, " ".join([*(word() for _ in range(draw.randrange(90))), *w, *(word() for _ in range(70))])))
+    rows.append((9000, "spam eggs " * 60 + items[0][1] + " spam eggs" * 60))
+    p = decontaminate.Params()
+    vocab = decontaminate.Vocabulary(sorted({w for _, t in items for w in decontaminate.tokens(t)}), p.hashed)
+    cut = [decontaminate.Item.cut(k, t, vocab.own)[0] for k, t in items]
+    want = set()
+    for d, t in rows:
+        ids = vocab.read(t)
+        for x in cut:
+            share, answer = (decontaminate.lcs(y, ids) / len(y) for y in (x.ids, x.answer))
+            if share >= p.lcs or share >= p.paraphrase and answer >= p.answer:
+                want.add((d, x.item_id))
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), p).collect()}
+    assert len(want) > 180 and len(got & want) >= 0.95 * len(want)
+    assert {(1000 + 10 * k, k) for k, _ in items} | {(9000, 0)} <= got
+
+
+def test_op10_rows_of_one_id_or_none(spark):
+    bench = spark.createDataFrame([(1, " ".join(f"b{k}" for k in range(30)))], "item_id long, text string")
+    leak, clean = " ".join(f"b{k}" for k in range(30)), "nothing of it here"
+    df = spark.createDataFrame([(None, leak, 1), (None, clean, 2), (None, None, 3), (7, leak, 4), (7, clean, 5), (7, clean, 5)], "doc_id long, text string, cosine int")
+    assert sorted(r["cosine"] for r in decontaminate.decontaminated(df, bench).collect()) == [2, 3, 5, 5]
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(df, bench).collect()} == {(None, 1), (7, 1)}
 
 
 def test_op10_long_items_across_stretches(spark):
     filler = lambda n: " ".join(f"f{random.randrange(4000)}" for _ in range(n))
-    items = [(k, " ".join(f"w{random.randrange(3000)}" for _ in range(n))) for k, n in enumerate((129, 330, 730, 1000, 2500))]
+    items = [(k, " ".join(f"w{random.randrange(3000)}" for _ in range(n))) for k, n in enumerate((129, 330, 800, 1000, 2000, 10_000))]
     rows = [(k, f"{filler(70)} {t} {filler(90)}") for k, t in items]
     border = decontaminate.STRETCH
     rows += [(100 + k, f"{filler(border - len(t.split()) // 2)} {t} {filler(400)}") for k, t in items]
