@@ -9,7 +9,7 @@ from tamarack.llm.common import dropped, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, root`` for each node of ``a, b`` (longs); ``root`` is the smallest node of the component.
+    """``node, root`` for each node of ``a, b`` (longs), a written table; ``root`` is the smallest node of the component.
 
     Every round is written to the shared folder. A star's centre may have any number of leaves: minima are summed before
     rows are sent, and leaves meet their centre in a join that can be split. Isolated nodes do not occur; no edges, no rows.
@@ -29,7 +29,9 @@ def components(edges: DataFrame) -> DataFrame:
         now, was, mark = after, mark, _mark(after)
         if mark == was:
             break
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    out = staged(now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()), "component-roots")
+    dropped(now)
+    return out
 
 
 def _mark(edges: DataFrame) -> tuple:

@@ -10,7 +10,8 @@ fingerprint is listed under all values within one bit and within two bits; a val
 entries (they are within three bits of that one), in rows linear in the cell.
 
 Null texts are empty: fingerprint zero, linked like any other. Null ids stay in the result but are nobody's smallest id.
-Repeated rows keep their own result rows; an empty table gives an empty result; extra columns are ignored.
+Repeated rows keep their own result rows; equal fingerprints are one node, so ties and copies cost nothing more. An empty table gives
+an empty result; extra columns, whatever their names, are ignored or kept as they are. Very long texts are hashed as a whole.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.llm.common import dropped, released, staged
@@ -55,15 +56,20 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view(np.uint64)[0])
 
 
+def row_name(docs: DataFrame) -> Column:
+    """A name of a row's id and text: rows that share an id are told apart by their texts."""
+    return F.xxhash64(docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")), F.lit(3))
+
+
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long)."""
+    """``doc_id, row, fp`` (the fingerprint as a signed long)."""
 
     def run(batches):
         for batch in batches:
-            fp = np.fromiter((fingerprint(t.as_py(), words) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            fp = np.fromiter((fingerprint(t.as_py(), words) for t in batch.column(2)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp.view(np.int64))], names=["doc_id", "row", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_name(docs).alias("row"), docs["text"]).mapInArrow(run, "doc_id long, row long, fp long")
 
 
 def embedded(fp: np.ndarray) -> np.ndarray:
@@ -89,7 +95,7 @@ def _signed(x: int) -> int:
 
 def linked(fps: DataFrame, bits: int = BITS) -> DataFrame:
     """Edges ``a, b`` between distinct fingerprints that connect all pairs within ``bits``: no link is lost, but within a cell
-    a pair that others already connect is left out."""
+    a pair that others already connect is left out. A written table."""
     masks = block_masks(blocks_for(fps.count()))
     shared = [sum(c) for c in combinations(masks, len(masks) - bits)]
     low = F.col("fp").bitwiseAND(0x5555555555555555)
@@ -104,7 +110,9 @@ def linked(fps: DataFrame, bits: int = BITS) -> DataFrame:
     found = cool.select("fp", "key").repartition("key").sortWithinPartitions("key").mapInArrow(_compared(bits), "a long, b long")
     if some_hot:
         found = found.unionAll(_by_neighbours(keys.join(hot, "key", "left_semi").select("fp").distinct(), bits))
-    return found.distinct()
+    out = staged(found.distinct(), "simhash-links")
+    dropped(keys, hot)
+    return out
 
 
 def _compared(bits: int):
@@ -163,33 +171,43 @@ def _by_neighbours(fps: DataFrame, bits: int) -> DataFrame:
     return rows.join(centre, "at").filter("fp <> a").select("a", F.col("fp").alias("b"))
 
 
-def grouped(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
-    """``doc_id, fingerprint, component_id``; a component's id is the smallest ``doc_id`` that links reach."""
+def _joined(docs: DataFrame, words: int, bits: int) -> DataFrame:
+    """``doc_id, row, fp, component_id, root``, a written table; ``root`` names the component."""
     spark = docs.sparkSession
     own = staged(fingerprints(docs, words), "simhash")
     least = staged(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    roots = staged(components(staged(linked(least.select("fp"), bits), "simhash-links")), "simhash-roots")
+    links = linked(least.select("fp"), bits)
+    roots = components(links)
     released(spark)
     joined = least.join(roots.withColumnRenamed("node", "fp"), "fp")
     first = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = joined.join(first, "root").select("fp", "component_id")
-    of = least.join(of, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return own.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    of = joined.join(first, "root").select("fp", "root", "component_id")
+    of = least.join(of, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "least").alias("component_id"))
+    out = staged(own.join(of, "fp").select("doc_id", "row", "fp", "component_id", "root"), "simhash-groups")
+    dropped(own, least, links, roots)
+    return out
+
+
+def grouped(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
+    """``doc_id, fingerprint, component_id``; a component's id is the smallest ``doc_id`` that links reach."""
+    return _joined(docs, words, bits).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def deduplicated(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
-    """One document of each component, the one with the smallest id. Rows without an id stay unless a document with an id is
-    linked to them; of rows that repeat an id, one stays."""
-    return one_each(docs, staged(grouped(docs, words, bits), "simhash-groups"))
+    """One document of each component: the one with the smallest id (a null one last), of several with this id the one whose id and text
+    have the smallest hash; of rows that repeat id and text, one."""
+    return one_each(docs, _joined(docs, words, bits))
 
 
 def one_each(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``groups`` (``doc_id, component_id``, a written table that is then deleted) keeps."""
-    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n"))
-    keep = staged(keep.select(F.col("doc_id").alias("__tk_id"), F.col("n").alias("__tk_n")), "simhash-keep")
-    rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("__tk_id")))
-    once = rows.filter("__tk_n = 1 OR doc_id IS NULL")
-    if not keep.filter("__tk_n > 1 AND __tk_id IS NOT NULL").isEmpty():
-        once = once.unionAll(rows.filter("__tk_n > 1 AND doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+    """The rows of ``docs`` that are the first of their component in ``groups`` (``doc_id, row, root``, a written table that is then
+    deleted)."""
+    each = groups.groupBy("root", "doc_id", "row").agg(F.count("*").alias("n"))
+    first = each.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "n")).alias("first"))
+    keep = staged(first.select(F.col("first.row").alias("__tk_row"), F.col("first.n").alias("__tk_n")), "simhash-keep")
+    rows = docs.withColumn("__tk_own", row_name(docs)).join(keep, F.col("__tk_own") == F.col("__tk_row"))
+    once = rows.filter("__tk_n = 1")
+    if not keep.filter("__tk_n > 1").isEmpty():
+        once = once.unionAll(rows.filter("__tk_n > 1").dropDuplicates(["__tk_own"]))
     dropped(groups)
     return once.select(*[F.col(c) for c in docs.columns])

@@ -194,9 +194,27 @@ def test_op3_links(spark, monkeypatch, hot):
     assert got == want
 
 
-def test_near_copies_against_brute_force(spark):
+def test_op3_rows_that_share_an_id_or_have_none(spark):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(60)) for c in "abc")
+    rows = [(1, one, "x"), (1, two, "x"), (1, two, "x"), (None, three, "y"), (None, one, "y"), (2, two, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, root string")
+    want = sorted([(1, one), (1, two), (0, three)])
+    for of in (simhash, near_copies):
+        got = of.deduplicated(df)
+        assert got.columns == df.columns and sorted((r["doc_id"] or 0, r["text"]) for r in got.collect()) == want
+
+
+def test_op3_very_long_text():
+    words = [f"w{k % 977}" for k in range(120_000)]
+    assert simhash.fingerprint(" \n".join(words)) == brute_fingerprint(" ".join(words))
+
+
+@pytest.mark.parametrize("centres", [64, 1])
+def test_near_copies_against_brute_force(spark, monkeypatch, centres):
     import corpus_pipeline
 
+    monkeypatch.setattr(near_copies, "CENTRES", centres)
+
     rows = [(1, None), (2, ""), (3, "a b"), (4, "A  b"), (None, "a b c")]
     for k in range(12):
         base = [f"w{random.randrange(5000)}" for _ in range(100)]
