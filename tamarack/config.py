@@ -21,14 +21,35 @@ NEGATION_WORDS = (
     "đối lập", "ngược lại", "trái ngược",
 )
 ASPECT_KEYWORDS = {
-    "food": "món ăn|đồ ăn|thức ăn|món|ngon|dở|hợp khẩu vị|đậm đà|hương vị|tươi|chín|sống|nguyên liệu|nguyên vật liệu|chất lượng|menu|thực đơn|đặc sản",
-    "service": "phục vụ|nhân viên|nhân viên phục vụ|bồi bàn|thu ngân|quản lý|chủ quán|thái độ|tư vấn|hỗ trợ|giúp đỡ|yêu cầu|khiếu nại|giải quyết|xử lý|chu đáo|tận tâm|hời hợt|lười biếng|chậm chạp|am hiểu|lễ tân",
-    "ambiance": "không gian|không khí|bầu không khí|phong cách|kiến trúc|thiết kế|trang trí|đèn|ánh sáng|nhạc|âm nhạc|đẹp|xinh|sang|hiện đại|cổ điển|vintage|retro|minimal|mở|kín|mái hiên|sân thượng|balcony|view|cảnh|hồ|biển|sông|thành phố|bình yên|ồn ào|yên tĩnh|nghỉ ngơi|chill|relax|thư giãn|stress|mệt",
-    "cleanliness": "sạch|vệ sinh|lau chùi|quét dọn|rác|bẩn|đuối|muỗi|chuột|gián|sâu|bọ|mùi|hôi|thơm|xà phòng|cồn|khử khuẩn",
-    "price": "giá|giá tiền|chi phí|tiền|đắt|rẻ|hời|bèo|hợp lý|vừa phải|quá đắt|quá rẻ|giảm giá|khuyến mãi|sale|đáng tiền|chát|thanh toán|trả tiền|momo|zalopay|vietqr|ngân hàng|thẻ|tiền mặt|qr|chuyển khoản",
-    "location": "vị trí|địa chỉ|đường|phố|quận|huyện|tp|thành phố|xuất phát|gần|xa|gần đây|khoảng cách|trung tâm|bình thường|dễ tìm|khó tìm",
-    "speed": "nhanh|chậm|lâu|đợi|chờ|phục vụ nhanh|phục vụ chậm|gọi món|order|đặt món|xuất món|ra món|đưa món|lên món|thời gian|phút|giờ|tiết kiệm|mất thời gian|hối lộ|vip|ưu tiên|bình thường|chờ đợi|đợi lâu|đợi một lúc",
-}
+    "food": (
+        "món ăn", "đồ ăn", "thức ăn", "món", "ngon", "dở", "hợp khẩu vị", "đậm đà", "hương vị", "tươi", "chín", "sống", "nguyên liệu", "nguyên vật liệu", "chất lượng",
+        "menu", "thực đơn", "đặc sản",
+    ),
+    "service": (
+        "phục vụ", "nhân viên", "nhân viên phục vụ", "bồi bàn", "thu ngân", "quản lý", "chủ quán", "thái độ", "tư vấn", "hỗ trợ", "giúp đỡ", "yêu cầu", "khiếu nại",
+        "giải quyết", "xử lý", "chu đáo", "tận tâm", "hời hợt", "lười biếng", "chậm chạp", "am hiểu", "lễ tân",
+    ),
+    "ambiance": (
+        "không gian", "không khí", "bầu không khí", "phong cách", "kiến trúc", "thiết kế", "trang trí", "đèn", "ánh sáng", "nhạc", "âm nhạc", "đẹp", "xinh", "sang",
+        "hiện đại", "cổ điển", "vintage", "retro", "minimal", "mở", "kín", "mái hiên", "sân thượng", "balcony", "view", "cảnh", "hồ", "biển", "sông", "thành phố",
+        "bình yên", "ồn ào", "yên tĩnh", "nghỉ ngơi", "chill", "relax", "thư giãn", "stress", "mệt",
+    ),
+    "cleanliness": (
+        "sạch", "vệ sinh", "lau chùi", "quét dọn", "rác", "bẩn", "đuối", "muỗi", "chuột", "gián", "sâu", "bọ", "mùi", "hôi", "thơm", "xà phòng", "cồn", "khử khuẩn",
+    ),
+    "price": (
+        "giá", "giá tiền", "chi phí", "tiền", "đắt", "rẻ", "hời", "bèo", "hợp lý", "vừa phải", "quá đắt", "quá rẻ", "giảm giá", "khuyến mãi", "sale", "đáng tiền",
+        "chát", "thanh toán", "trả tiền", "momo", "zalopay", "vietqr", "ngân hàng", "thẻ", "tiền mặt", "qr", "chuyển khoản",
+    ),
+    "location": (
+        "vị trí", "địa chỉ", "đường", "phố", "quận", "huyện", "tp", "thành phố", "xuất phát", "gần", "xa", "gần đây", "khoảng cách", "trung tâm", "bình thường",
+        "dễ tìm", "khó tìm",
+    ),
+    "speed": (
+        "nhanh", "chậm", "lâu", "đợi", "chờ", "phục vụ nhanh", "phục vụ chậm", "gọi món", "order", "đặt món", "xuất món", "ra món", "đưa món", "lên món", "thời gian",
+        "phút", "giờ", "tiết kiệm", "mất thời gian", "hối lộ", "vip", "ưu tiên", "bình thường", "chờ đợi", "đợi lâu", "đợi một lúc",
+    ),
+}
 NAME_PREFIXES = ("di tích", "bãi biển", "núi", "hồ", "đền", "chùa", "công viên", "khu du lịch")
 LABELS = ("negative", "neutral", "positive")
 LABEL_NAMES = {"NEG": "negative", "NEGATIVE": "negative", "LABEL_0": "negative", "NEU": "neutral", "NEUTRAL": "neutral", "LABEL_1": "neutral", "POS": "positive", "POSITIVE": "positive", "LABEL_2": "positive"}
@@ -36,11 +57,11 @@ REQUIRED_S3 = ("sentence_id", "sentence_text", "sentence_hash", "label", "score"
 REQUIRED_ABSA = ("record_id", "entity_id", "source", "sentence", "aspect", "sentiment", "confidence_score", "platform", "created_at")
 
 
-def dictionary(raw: dict[str, str | list[str]] = ASPECT_KEYWORDS) -> list[tuple[int, str, str]]:
+def dictionary(raw: dict[str, tuple[str, ...] | list[str]] = ASPECT_KEYWORDS) -> list[tuple[int, str, str]]:
     """``(order, keyword, aspect)``: keywords stripped and lower-cased, the first aspect that names a keyword has it."""
     out: dict[str, str] = {}
     for aspect, words in raw.items():
-        for w in words.split("|") if isinstance(words, str) else words if isinstance(words, list) else []:
+        for w in words if isinstance(words, (list, tuple)) else []:
             if w.strip():
                 out.setdefault(w.strip().lower(), aspect)
     return [(k, w, a) for k, (w, a) in enumerate(out.items())]
@@ -87,6 +108,7 @@ class QualityConfig:
     label_distribution_min_pct: float = 0.01
     min_aspect_coverage: float = 0.0
     required_aspects: tuple[str, ...] = ()
+    max_aspects_per_sentence: int = 10
 
 
 @dataclass(frozen=True)
@@ -101,6 +123,16 @@ class PipelineConfig:
     max_length: int = 256
     output_root: str = "data/sentiment"
     raw_root: str = "data/raw"
+    limit: int = 0  # rows that the first stage and the scores of a trial run take; 0: all
+
+
+def all_aspects(raw: dict = ASPECT_KEYWORDS) -> list[str]:
+    return sorted(raw)
+
+
+def keywords_of(aspect: str, raw: dict = ASPECT_KEYWORDS) -> list[str]:
+    """As listed; none for an unknown aspect."""
+    return list(raw.get(aspect, ()))
 
 
 def nested(cfg: dict, path: str, default=None):

@@ -150,6 +150,33 @@ def rating_field(label: Column) -> Column:
     return out
 
 
+#: The fields of ratings without a label, by place.
+RATING_ORDER = ("rating_quality", "rating_price", "rating_location", "rating_service", "rating_space")
+
+
+def rating_fields(groups: Column) -> Column:
+    """``array<struct<label, value>>`` -> a struct of the five fields. A blank label stands for the field of its place; the first value of
+    a field counts."""
+    order = F.array(*[F.lit(x) for x in RATING_ORDER])
+    plain = lambda g: F.trim(F.coalesce(g["label"], F.lit("")))
+    named = F.transform(groups, lambda g, i: F.struct(F.when(plain(g) != "", rating_field(g["label"])).otherwise(F.get(order, i)).alias("field"), to_float(g["value"]).alias("value")))
+    of = lambda name: F.get(F.filter(named, lambda g: g["field"] == F.lit(name)), F.lit(0))["value"]
+    return F.struct(*[of(name).alias(name) for name, _ in RATING_LABELS])
+
+
+#: Parts of a path that are no place's page.
+LINK_PARTS = ("/thuong-hieu/", "/nearBy", "/binh-luan", "/hinh-anh", "/menu")
+
+
+def detail_path(c: Column, excluded: tuple[str, ...] = LINK_PARTS) -> Column:
+    """The normalized path of a place's page (province and name at least); null for other links."""
+    path = normalize_path(c)
+    ok = F.size(F.filter(F.split(path, "/"), lambda x: x != "")) >= 2
+    for part in excluded:
+        ok = ok & ~path.contains(part)
+    return F.when(ok, path)
+
+
 def upgrade_photo(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"/photo-[a-z]\d*/", "/photo-o/"), r"-\d{2,4}x\d{2,4}\.jpg$", ".jpg")
 
@@ -176,15 +203,20 @@ def province_suffix(c: Column, provinces: list[str]) -> Column:
     return out
 
 
+#: Buttons under a comment.
 _JUNK = ("Reply", "Trả lời", "Like", "Thích", "Xem bản dịch", "See translation", "Xem thêm", "See more")
 
 
+#: Dates, buttons and counts behind a comment, in order.
+RESIDUE = (r"\s+\d{1,2}-\d{1,2}(\s+\d{4})?\s*$", r"\s+\d{4}-\d{2}-\d{2}\s*$", r"(?iu)\s*(Trả lời|Reply)\s*\d*\s*$", r"(?iu)\s*(Thích|Like)\s*\d*\s*$", r"\s+\d+\s*$")
+
+
 def comment_residue(c: Column, author: Column | None = None) -> Column:
     """Comment text without the author before it and the dates, buttons and counts behind it; null if nothing is left."""
     text = clean_text(c)
     if author is not None:
         text = F.when(F.coalesce(author, F.lit("")).eqNullSafe("") | ~text.startswith(author), text).otherwise(F.trim(F.substr(text, F.length(author) + 1)))
-    for pattern in (r"\s+\d{1,2}-\d{1,2}(\s+\d{4})?\s*$", r"\s+\d{4}-\d{2}-\d{2}\s*$", r"(?iu)\s*(Trả lời|Reply)\s*\d*\s*$", r"(?iu)\s*(Thích|Like)\s*\d*\s*$", r"\s+\d+\s*$"):
+    for pattern in RESIDUE:
         text = F.regexp_replace(text, pattern, "")
     text = clean_text(text)
     return F.when((F.length(text) >= 2) & ~text.isin(*_JUNK), text)
@@ -235,9 +267,14 @@ def _times(c: Column) -> list[Column]:
     return [F.coalesce(F.get(times, F.lit(k)), F.lit("")).alias(n) for k, n in ((0, "departure_time"), (1, "arrival_time"))]
 
 
+#: Numbers of trains and flights.
+TRAIN_NUMBER = r"(?i)\b(?:Tàu\s+)?(SE\d+|SNT\d+|TN\d+|SPT\d+)\b"
+FLIGHT_NUMBER = r"\b((?:VJ|VN|QH|VU|BL)\d+)\b"
+
+
 def train_card(c: Column) -> Column:
     """Fields of a train card; null if it is too short or has no departure."""
-    number = _found(c, r"(?i)\b(?:Tàu\s+)?(SE\d+|SNT\d+|TN\d+|SPT\d+)\b")
+    number = _found(c, TRAIN_NUMBER)
     from_k = F.floor(F.replace(_found(c, r"[Tt]ừ\s*(\d+(?:[.,]\d+)?)\s*[Kk]"), F.lit(","), F.lit(".")).try_cast("double") * 1000).cast("long")
     dep, arr = _times(c)
     row = F.struct(dep, arr, F.coalesce(F.concat(F.lit("Tàu "), F.upper(number)), F.lit("Vietnam Railways")).alias("operator_name"), _first_of(c, SEATS, F.lit("Unknown")).alias("vehicle_type"), F.coalesce(from_k, parse_price(c)).alias("price_vnd"), parse_duration(c).alias("duration_min"))
@@ -246,7 +283,7 @@ def train_card(c: Column) -> Column:
 
 def flight_card(c: Column) -> Column:
     dep, arr = _times(c)
-    row = F.struct(dep, arr, _first_of(c, AIRLINES, F.lit("Unknown")).alias("operator_name"), F.coalesce(_found(c, r"\b((?:VJ|VN|QH|VU|BL)\d+)\b"), _first_of(c, FARES, F.lit("Unknown"))).alias("vehicle_type"), parse_price(c).alias("price_vnd"), parse_duration(c).alias("duration_min"))
+    row = F.struct(dep, arr, _first_of(c, AIRLINES, F.lit("Unknown")).alias("operator_name"), F.coalesce(_found(c, FLIGHT_NUMBER), _first_of(c, FARES, F.lit("Unknown"))).alias("vehicle_type"), parse_price(c).alias("price_vnd"), parse_duration(c).alias("duration_min"))
     return F.when((F.length(F.trim(c)) >= 30) & is_time(row["departure_time"]), row)
 
 

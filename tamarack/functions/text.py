@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.config import TextConfig
 
+# What normalization takes out.
 URL = r"https?://\S+|www\.\S+"
 EMAIL = r"\S+@\S+\.\S+"
 EMOJI = r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}\x{2700}-\x{27BF}\x{2600}-\x{26FF}]+"
@@ -57,6 +59,29 @@ def sentences(c: Column, cfg: TextConfig = TextConfig()) -> Column:
     return F.filter(F.transform(parts, lambda x: F.regexp_replace(F.trim(x), END, "")), lambda x: F.length(x) >= cfg.min_sentence_len)
 
 
+def with_sentences(df: DataFrame, text: str, load: Callable[[], Callable[[str], list[str]]], key: str, out: str = "sentences", least: int = 3) -> DataFrame:
+    """Sentences by a tokenizer instead of ``sentences``: ``load`` gives a function from a text to its sentences and runs once per worker
+    process and ``key``. They are trimmed and keep their marks; a text for which it gives nothing, or fails, is split by ``sentences``."""
+
+    @F.pandas_udf("array<string>")
+    def run(x: pd.Series) -> pd.Series:
+        if key not in _loaded:
+            _loaded[key] = load()
+        return x.map(split)
+
+    def split(value: str | None) -> list[str] | None:
+        try:
+            own = _loaded[key](value) if value else []
+        except Exception:  # any fault of the tokenizer means the built-in splitter
+            own = []
+        return [s.strip() for s in own if len(s.strip()) >= least] if own else None
+
+    return df.withColumn(out, F.coalesce(run(F.col(text)), sentences(F.col(text))))
+
+
+_loaded: dict = {}
+
+
 def connector_pattern(connectors: tuple[str, ...]) -> str:
     """Alternatives in listed order: the first that fits wins."""
     return r"(?iU)(?:\s+|^)(?:" + "|".join(re.escape(c) for c in connectors) + r")(?:\s+|$)"

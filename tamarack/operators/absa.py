@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 
 from tamarack.config import TextConfig
 from tamarack.functions.text import clauses, hash16
-from tamarack.operators.scoring import apply_negation, score_distinct, with_stub
+from tamarack.operators.scoring import apply_negation, score_distinct, stub_scorer
 from tamarack.schemas import fields
 
 #: A sentence's key; its id alone repeats between places.
@@ -18,8 +18,7 @@ KEY = ("source", "place_id", "comment_id", "sentence_idx")
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def stub(df: DataFrame) -> DataFrame:
-    return with_stub(df, "_text")
+stub = stub_scorer()
 
 
 def _done(df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tamarack.config import NAME_PREFIXES
+from tamarack.functions.text import let, strip_accents
 from tamarack.session import pinned
 
 
@@ -69,14 +70,28 @@ def token_sort_ratio(a: Column, b: Column) -> Column:
     return F.when(n == 0, 100.0).otherwise(F.round(200.0 * lcs_length(x, y) / n, 6))
 
 
+def _bag(c: Column) -> Column:
+    """Each character with its number among its like: what two texts have in common is the intersection."""
+    own = F.filter(F.split(c, ""), lambda x: x != "")
+    return let(own, lambda a: F.transform(a, lambda x, i: F.concat(x, F.size(F.filter(F.slice(a, F.lit(1), i + 1), lambda y: y == x)).cast("string"))))
+
+
 def best_matches(left: DataFrame, right: DataFrame, threshold: float = 60.0, prefixes: tuple[str, ...] = NAME_PREFIXES) -> DataFrame:
     """Each left row with its best right row of the same province, or nulls and 0. Both have ``ord, name, province``; right also
-    ``source_url``. Among equal scores the first by ``ord`` wins. Pairs arise within a province only."""
-    r = right.select(F.col("ord").alias("_ord"), F.col("name").alias("name_en"), F.col("province").alias("_province"), F.col("source_url").alias("source_url_en"))
-    pairs = left.join(r, F.col("province") == F.col("_province")).withColumn("match_score", token_sort_ratio(normalize_name(F.col("name"), prefixes), normalize_name(F.col("name_en"), prefixes)))
-    best = pairs.filter((F.col("match_score") >= threshold) & (F.col("match_score") > 0)).groupBy(F.col("ord").alias("_left")).agg(F.min_by(F.struct("name_en", "source_url_en", "match_score"), F.struct(-F.col("match_score"), F.col("_ord"))).alias("m"))
-    out = left.join(best, F.col("ord") == F.col("_left"), "left").withColumn("name_vn", F.col("name"))
-    return out.withColumns({"name_en": F.col("m.name_en"), "source_url_en": F.col("m.source_url_en"), "match_score": F.coalesce("m.match_score", F.lit(0.0))}).drop("m", "_left")
+    ``source_url``. Among equal scores the first by ``ord`` wins. Pairs are of distinct names within a province; a pair's lengths and
+    the characters that it shares bound its score, and only those that can reach the threshold are compared."""
+    key = token_sort(normalize_name(F.col("name"), prefixes))
+    a = left.select("province", key.alias("_a")).distinct().select("province", "_a", _bag(F.col("_a")).alias("_abag"), F.length("_a").alias("_an"))
+    b = right.withColumn("_b", key).groupBy(F.col("province").alias("_province"), "_b").agg(F.min(F.struct("ord", "name", "source_url")).alias("_first"))
+    b = b.select("_province", "_b", "_first", _bag(F.col("_b")).alias("_bbag"), F.length("_b").alias("_bn"))
+    reach = F.lit(threshold - 1e-6)
+    pairs = a.join(b, F.col("province") == F.col("_province")).filter((F.col("_an") + F.col("_bn") == 0) | (200.0 * F.least("_an", "_bn") >= reach * (F.col("_an") + F.col("_bn"))))
+    pairs = pairs.filter((F.col("_an") + F.col("_bn") == 0) | (200.0 * F.size(F.array_intersect("_abag", "_bbag")) >= reach * (F.col("_an") + F.col("_bn")))).select("province", "_a", "_b", "_an", "_bn", "_first")
+    n = F.col("_an") + F.col("_bn")
+    pairs = pairs.withColumn("match_score", F.when(n == 0, 100.0).when(F.col("_a") == F.col("_b"), 100.0).otherwise(F.round(200.0 * lcs_length(F.col("_a"), F.col("_b")) / n, 6)))
+    best = pairs.filter((F.col("match_score") >= threshold) & (F.col("match_score") > 0)).groupBy(F.col("province").alias("_p"), F.col("_a").alias("_k")).agg(F.min(F.struct(-F.col("match_score"), "_first.ord", "_first")).alias("m"))
+    out = left.withColumn("_a", key).join(best, (F.col("province") == F.col("_p")) & (F.col("_a") == F.col("_k")), "left").withColumn("name_vn", F.col("name"))
+    return out.withColumns({"name_en": F.col("m._first.name"), "source_url_en": F.col("m._first.source_url"), "match_score": F.coalesce(-F.col("m.col1"), F.lit(0.0))}).drop("m", "_p", "_k", "_a")
 
 
 def match_stats(mapped: DataFrame) -> DataFrame:
@@ -144,6 +159,50 @@ def upserted(old: DataFrame, new: DataFrame, key: str = "source_url") -> DataFra
     return numbered(one.select("_first", "r.*"), "_first", name="record_id").drop("_first")
 
 
+def provinces_wanted(df: DataFrame, wanted: list[str], most: int = 0) -> DataFrame:
+    """Rows ``ord, name, slug`` whose name or slug is wanted, whatever the accents and case; with ``most``, the first by ``ord``."""
+    out = df
+    if wanted:
+        plain = strip_accents
+        names = [F.replace(F.lit(w), F.lit("-"), F.lit(" ")) for w in wanted]
+        keys = F.array(*[plain(n) for n in names])
+        out = df.filter(F.array_contains(keys, plain(F.col("name"))) | F.array_contains(keys, plain(F.replace("slug", F.lit("-"), F.lit(" ")))))
+    return out.orderBy("ord").limit(most) if most else out
+
+
+def registry(mapped: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From rows ``ord, name, name_vn, entity_type, province, source, source_entity_id``: the entities (id, canonical name, type,
+    province: the first of each id by ``ord``), and the ids that sources give them, once each. Rows without a source map nothing."""
+    from tamarack.functions.parse import entity_id
+
+    name = F.coalesce(F.nullif("name_vn", F.lit("")), "name")
+    rows = mapped.withColumns({"canonical_name": name, "entity_id": entity_id(name, F.coalesce("province", F.lit("")))})
+    one = first_by(rows, ["entity_id"], "ord").select("entity_id", "canonical_name", "entity_type", "province")
+    sources = rows.filter(F.coalesce("source", F.lit("")) != "").select("entity_id", "source", F.coalesce("source_entity_id", F.lit("")).alias("source_entity_id")).distinct()
+    return one, sources
+
+
+def kept_records(df: DataFrame, required: list[str], key: str = "source_url", order: str = "ord") -> DataFrame:
+    """What a resumed run keeps of an earlier result: records with all required fields and a key, the first of each key."""
+    ok = F.coalesce(F.col(key), F.lit("")) != ""
+    for c in required:
+        ok = ok & F.col(c).isNotNull()
+    return first_by(df.filter(ok), [key], order)
+
+
+def capped_comments(df: DataFrame, videos: int = 3, each: int = 10) -> DataFrame:
+    """Comments ``keyword, video_id, ord, author, text``, each once by author and text within its video: the first ``each`` of the first
+    ``videos`` videos of a keyword, by ``ord``."""
+    from tamarack.functions.parse import md5_id
+
+    named = df.withColumn("comment_id", md5_id(F.col("author"), F.col("text")))
+    first = named.groupBy("keyword", "video_id").agg(F.min("ord").alias("_first"))
+    own = top_by(first, ["keyword"], videos, "_first", "video_id").select(F.col("keyword").alias("_k"), F.col("video_id").alias("_v"))
+    one = first_by(named, ["keyword", "video_id", "comment_id"], "ord")
+    rows = one.join(own, F.col("keyword").eqNullSafe(F.col("_k")) & F.col("video_id").eqNullSafe(F.col("_v")), "left_semi")
+    return top_by(rows, ["keyword", "video_id"], each, "ord", "comment_id")
+
+
 def unseen(wanted: DataFrame, have: DataFrame, keys: list[str], retry_partial: bool = False) -> DataFrame:
     """Rows that still have to be collected: not there, or there with another status than ok if partial ones are retried."""
     done = have.filter(F.col("status") == "ok") if retry_partial else have

@@ -35,6 +35,16 @@ def with_stub(df: DataFrame, text: str, version: str = "stub") -> DataFrame:
     return df.withColumns({"label": label_name(n), "score": F.lit(STUB_SCORE), "label_id": n, "model_version": F.lit(version)})
 
 
+def stub_scorer(version: str = "stub") -> Callable[[DataFrame], DataFrame]:
+    """``with_stub`` over ``_text``, as an expression."""
+
+    def score(df: DataFrame) -> DataFrame:
+        return with_stub(df, "_text", version)
+
+    score.inline = True
+    return score
+
+
 _loaded: dict = {}
 
 
@@ -75,8 +85,13 @@ def transformers_model(directory: str, max_length: int = 256) -> Callable[[], Ca
 
 
 def score_distinct(df: DataFrame, key: str, text: Column, scorer: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Scores each distinct key once and joins the result back; keys without a score are neutral, 0.5. The text of a key is the
-    smallest of its rows' texts, so that the result does not depend on their order."""
+    """Scores by key; rows without a score are neutral, 0.5. A scorer that is an expression (its ``inline`` is true) costs less than a
+    join and scores each row's own text. Others, models, see each distinct key once, and the result is joined back: the text of a key is
+    the smallest of its rows' texts, so that the result does not depend on their order. They read ``df`` twice: give them a written
+    table."""
+    if getattr(scorer, "inline", False):
+        out = scorer(df.withColumn("_text", text))
+        return out.withColumns({"label": F.coalesce("label", F.lit("neutral")), "score": F.when(F.col("label").isNull(), 0.5).otherwise(F.col("score"))}).drop("_text", "label_id")
     own = df.groupBy(F.col(key).alias("_key")).agg(F.min(text).alias("_text"))
     scored = scorer(own).select("_key", F.col("label").alias("_label"), F.col("score").alias("_score"), F.col("model_version").alias("_version"))
     out = df.join(scored, F.col(key) == F.col("_key"), "left")

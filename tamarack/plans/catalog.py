@@ -18,7 +18,7 @@ from tamarack.plans import pipeline
 from tamarack.session import spread
 
 TEXT = TextConfig(nfc=False, connectors=("and", "und", "et", "y", "que", ";", ":"))
-KEYWORDS = {"food": "the|of|er", "service": "and|was|la", "price": "for|que|der", "location": "to|in|die"}
+KEYWORDS = {"food": ("the", "of", "er"), "service": ("and", "was", "la"), "price": ("for", "que", "der"), "location": ("to", "in", "die")}
 NEGATORS = ("no", "not", "on", "en", "un", "pas")
 ASPECTS = AspectConfig(keywords=tuple(dictionary(KEYWORDS)), negators=NEGATORS, strategy="hybrid", window_before=2, window_after=2)
 QUALITY = QualityConfig(max_len=120)
@@ -102,13 +102,17 @@ def _clauses(c: str, least: int) -> str:
     return f"CASE WHEN len({own}) > 0 THEN {own} WHEN len({parts}) = 1 AND length({c}) >= {least} THEN [regexp_replace({c}, '[.!?…;:,]+$', '')] ELSE [] END"
 
 
-_DICT = "k(ord, keyword, kw_aspect) AS (VALUES " + ", ".join(f"({o}, '{k}', '{a}')" for o, k, a in dictionary(KEYWORDS)) + ")"
+def _dict(raw: dict) -> str:
+    return "k(ord, keyword, kw_aspect) AS (VALUES " + ", ".join(f"({o}, '{k}', '{a}')" for o, k, a in dictionary(raw)) + ")"
+
+
+_DICT = _dict(KEYWORDS)
 _NEG = "(^|[^\\pL\\pN_])(" + "|".join(sorted(NEGATORS, key=len, reverse=True)) + ")($|[^\\pL\\pN_])"
 
 
-def _matches(of: str, key: str, t: str) -> str:
+def _matches(of: str, key: str, t: str, words: str = _DICT) -> str:
     """CTEs ``m`` (all matches) and ``dm`` (one for each aspect) of the texts ``t`` of table ``of`` by ``key``."""
-    return f"""{_DICT}, o AS (SELECT {key}, {t} AS t, ord, keyword, kw_aspect, unnest(range(1, length({t}) - length(keyword) + 2)) AS i FROM {of}, k WHERE contains({t}, keyword)),
+    return f"""{words}, o AS (SELECT {key}, {t} AS t, ord, keyword, kw_aspect, unnest(range(1, length({t}) - length(keyword) + 2)) AS i FROM {of}, k WHERE contains({t}, keyword)),
 f AS (SELECT {key}, t, ord, keyword, kw_aspect AS aspect, (i - 1)::INT AS start, (i - 1 + length(keyword))::INT AS "end" FROM o WHERE substr(t, i, length(keyword)) = keyword AND (i = 1 OR NOT regexp_matches(substr(t, i - 1, 1), '[\\pL\\pN]'))),
 b AS (SELECT *, list_filter(string_split(trim(substr(t, 1, start)), ' '), lambda w: w <> '') AS w FROM f),
 m AS (SELECT {key}, t, ord, keyword, aspect, start, "end", regexp_matches(array_to_string(w[greatest(len(w) - 3, 1):], ' '), '(?i){_NEG}') AS negated FROM b),
@@ -201,10 +205,18 @@ def aspect_dedupe(spark, sf_dir):
     return df.select("comment_id", "source", "sentence_idx", "m.keyword", "m.aspect", "m.start", "m.negated", aspects.sentiment_modifier(F.col("m.negated")).alias("modifier"))
 
 
-@query()
+LONGER = {"food": ("the", "the an", "an"), "price": ("of", "of the", "er")}
+
+
+@query(f"""WITH RECURSIVE {_S2}, x AS (SELECT *, row_number() OVER () AS ck FROM s2), {_matches('x', 'ck', 'sentence_text', _dict(LONGER))},
+q AS (SELECT ck, keyword, aspect, start, "end" AS e, row_number() OVER (PARTITION BY ck ORDER BY length(keyword) DESC, ord, start) AS r FROM m),
+g AS (SELECT ck, 0::BIGINT AS r, []::STRUCT(s INT, e INT)[] AS taken FROM q GROUP BY ck
+ UNION ALL SELECT g.ck, g.r + 1, CASE WHEN len(list_filter(g.taken, lambda y: y.s < q.e AND q.start < y.e)) > 0 THEN g.taken ELSE list_append(g.taken, struct_pack(s := q.start, e := q.e)) END FROM g JOIN q ON g.ck = q.ck AND q.r = g.r + 1),
+z AS (SELECT ck, unnest(taken) AS p FROM (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY ck ORDER BY r DESC) = 1))
+SELECT comment_id, source, sentence_idx, keyword, aspect, start, q.e AS "end" FROM z JOIN q ON z.ck = q.ck AND z.p.s = q.start AND z.p.e = q.e JOIN x ON x.ck = q.ck""")
 def aspect_longest(spark, sf_dir):
-    """Longest match first, without overlaps; sequential by nature, so the tests hold it against plain code."""
-    cfg = AspectConfig(keywords=tuple(dictionary({"food": "the|the an|an", "price": "of|of the|er"})), negators=NEGATORS, prefer_longest=True)
+    """Longest match first, without overlaps."""
+    cfg = AspectConfig(keywords=tuple(dictionary(LONGER)), negators=NEGATORS, prefer_longest=True)
     df = s2(spark, sf_dir).select("comment_id", "source", "sentence_idx", F.explode(aspects.matches(F.col("sentence_text"), cfg)).alias("m"))
     return df.select("comment_id", "source", "sentence_idx", "m.keyword", "m.aspect", "m.start", "m.end")
 
@@ -235,11 +247,6 @@ def model_scores(spark, sf_dir):
     return out.select("p_partkey", "label", F.round("score", 6).alias("score"))
 
 
-@query("SELECT o_orderkey, CASE upper(trim(o_orderpriority)) WHEN 'NEG' THEN 'negative' ELSE 'neutral' END AS label FROM orders")
-def label_map(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select("o_orderkey", scoring.label_of(F.col("o_orderpriority")).alias("label"))
-
-
 @query(f"WITH {_S7} SELECT source || '_' || comment_id || '_' || sentence_id || '_' || aspect || '_c' || clause_idx AS record_id, aspect, sentiment, confidence_score, negation_applied, segment_type, sentence_text AS sentence FROM s7")
 def absa_segment(spark, sf_dir):
     return s7(spark, sf_dir).select("record_id", "aspect", "sentiment", "confidence_score", "negation_applied", "segment_type", "sentence")
@@ -270,31 +277,26 @@ def ml_projection(spark, sf_dir):
 # quality and metrics
 
 
-_QROWS = "SELECT doc_id, trim(t) AS tt, t, label, score FROM (SELECT doc_id, CASE WHEN n_chars % 7 = 0 THEN NULL WHEN n_chars % 5 = 0 THEN ' ' ELSE substr(text, 1, (n_chars % 150)::INT) END AS t, ['negative', 'neutral', 'positive', 'odd'][(n_chars % 4 + 1)::INT] AS label, (n_chars % 12) / 10.0::DOUBLE AS score FROM documents)"
+_QSQL = f"""WITH {_S3}, r AS (SELECT source, comment_id, sentence_idx, l AS label, score, list_filter([CASE WHEN l IS NULL THEN 'MISSING_FIELDS' END,
+CASE WHEN length(sentence_text) > {QUALITY.max_len} THEN 'TOO_LONG' END, CASE WHEN l IS NULL THEN 'INVALID_LABEL' END], lambda x: x IS NOT NULL) AS reasons
+FROM (SELECT *, CASE WHEN rating <= 2 THEN 'negative' WHEN rating = 3 THEN 'neutral' WHEN rating IS NOT NULL THEN 'positive' END AS l FROM s3))"""
 
 
 def _quality_rows(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    n = F.col("n_chars")
-    t = F.when(n % 7 == 0, None).when(n % 5 == 0, " ").otherwise(F.substr("text", F.lit(1), (n % 150).cast("int")))
-    label = F.get(F.array(*[F.lit(x) for x in ("negative", "neutral", "positive", "odd")]), (n % 4).cast("int"))
-    return d.select("doc_id", F.lit("s").alias("sentence_id"), t.alias("sentence_text"), F.lit("h").alias("sentence_hash"), label.alias("label"), ((n % 12) / 10.0).alias("score"), F.lit(1).alias("label_id"))
-
-
-_QSQL = f"""WITH q AS ({_QROWS}), r AS (SELECT doc_id, label, score, list_filter([CASE WHEN t IS NULL OR t = '' THEN 'MISSING_FIELDS' END,
-CASE WHEN coalesce(tt, '') = '' THEN 'EMPTY_TEXT' WHEN length(tt) < 3 THEN 'TOO_SHORT' WHEN length(tt) > {QUALITY.max_len} THEN 'TOO_LONG' END,
-CASE WHEN label = 'odd' THEN 'INVALID_LABEL' END, CASE WHEN score < 0.3 THEN 'LOW_CONFIDENCE' WHEN score > 1.0 THEN 'HIGH_CONFIDENCE' END], lambda x: x IS NOT NULL) AS reasons FROM q)"""
+    """Scored sentences, whole, with the label of their document's rating; many have none. Other reasons are tested on small tables."""
+    return s3(spark, sf_dir).withColumn("label", metrics.rating_label(F.col("rating")))
 
 
-@query(f"{_QSQL} SELECT doc_id, array_to_string(reasons, ',') AS reasons FROM r")
+@query(f"{_QSQL} SELECT source, comment_id, sentence_idx, array_to_string(reasons, ',') AS reasons FROM r")
 def quarantine_reasons(spark, sf_dir):
-    return quality.judged(_quality_rows(spark, sf_dir), QUALITY).select("doc_id", F.array_join("quarantine_reasons", ",").alias("reasons"))
+    return quality.judged(_quality_rows(spark, sf_dir), QUALITY).select("source", "comment_id", "sentence_idx", F.array_join("quarantine_reasons", ",").alias("reasons"))
 
 
-@query(f"{_QSQL} SELECT doc_id, len(reasons) = 0 AS valid FROM r")
+@query(f"{_QSQL} SELECT source, comment_id, sentence_idx, len(reasons) = 0 AS valid FROM r")
 def quality_split(spark, sf_dir):
-    good, bad = quality.split(_quality_rows(spark, sf_dir), QUALITY)
-    return good.select("doc_id", F.lit(True).alias("valid")).unionAll(bad.select("doc_id", F.lit(False).alias("valid")))
+    good, bad = quality.split(_quality_rows(spark, sf_dir), QUALITY, pin=True)
+    cols = ["source", "comment_id", "sentence_idx"]
+    return good.select(*cols, F.lit(True).alias("valid")).unionAll(bad.select(*cols, F.lit(False).alias("valid")))
 
 
 @query(f"""WITH {_S7} SELECT aspect_keyword = '' AS no_keyword, array_to_string(list_filter([CASE WHEN sentiment IS NULL THEN 'INVALID_LABEL' END, CASE WHEN trim(segment_text) = '' THEN 'EMPTY_SEGMENT' END], lambda x: x IS NOT NULL), ',') AS reasons, count(*) AS n FROM s7 GROUP BY ALL""")
@@ -326,7 +328,7 @@ def absa_counts(spark, sf_dir):
 
 
 @query(f"""WITH {_S7}, z AS (SELECT *, source || '/' || entity_id || '/' || comment_id || '#' || substr(sha256(sentence_text), 1, 16) AS sk, substr(sha256(segment_text), 1, 16) AS sh FROM s7)
-SELECT count(*) AS total, count(DISTINCT sk) AS sentences, round(count(DISTINCT CASE WHEN aspect <> 'other' THEN sk END)::DOUBLE / (SELECT count(*) FROM s2), 4) AS aspect_coverage, round(count(*)::DOUBLE / count(DISTINCT sk), 4) AS avg_aspects_per_sentence,
+SELECT count(*) AS total, count(DISTINCT sk) AS sentences, round(count(DISTINCT CASE WHEN aspect <> 'other' THEN sk END)::DOUBLE / (SELECT count(*) FROM s2), 4) AS aspect_coverage, round(count_if(aspect <> 'other')::DOUBLE / count(DISTINCT CASE WHEN aspect <> 'other' THEN sk END), 4) AS avg_aspects_per_sentence, round(count(*)::DOUBLE / count(DISTINCT sk), 4) AS avg_segments_per_sentence,
 count(DISTINCT sh) AS unique_segments, round(count(DISTINCT sh)::DOUBLE / count(*), 4) AS unique_segment_ratio, count_if(negation_applied) AS negations FROM z""")
 def absa_summary(spark, sf_dir):
     total = s2(spark, sf_dir).agg(F.count("*").alias("_total"))
@@ -383,19 +385,22 @@ def sentiment_dataset(spark, sf_dir):
     return gold.sentiment_dataset(quality.split(s3(spark, sf_dir), QUALITY)[0])
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT doc_id, text, regexp_extract_all(text, '[A-Z][a-z]+ [A-Z][a-z]+') AS l FROM documents),
+g AS (SELECT doc_id, 0 AS i, 1::BIGINT AS pos, NULL::VARCHAR AS entity, NULL::INT AS start, NULL::INT AS "end" FROM e WHERE len(l) > 0
+ UNION ALL SELECT doc_id, i, p + length(m), m, (p - 1)::INT, (p - 1 + length(m))::INT FROM (SELECT g.doc_id, g.i + 1 AS i, l[g.i + 1] AS m, g.pos - 1 + instr(substr(text, g.pos), l[g.i + 1]) AS p FROM g JOIN e ON g.doc_id = e.doc_id WHERE g.i < len(l)))
+SELECT doc_id, entity, start, "end" FROM g WHERE i > 0""")
 def ner_dataset(spark, sf_dir):
-    """Mentions with their places; the tests hold it against plain code."""
+    """Mentions with their places."""
     return gold.ner_dataset(table(spark, sf_dir, "documents").select("doc_id", "text"), "text").drop("text")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from tamarack.plans import catalog_more  # noqa: F401
+    from tamarack.plans import catalog_io, catalog_more  # noqa: F401
 
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from tamarack.plans import catalog_more  # noqa: F401
+    from tamarack.plans import catalog_io, catalog_more  # noqa: F401
 
     return dict(_SQL)

@@ -9,14 +9,14 @@ from pyspark.sql import types as T
 
 from tamarack.functions import parse, text
 from tamarack.operators import clean, entities, relational
-from tamarack.plans.catalog import CFG, comments, query, table
+from tamarack.plans.catalog import query, table
+from tamarack.session import shared_folder
 from tamarack.sources import adapters, readers, sinks
 from tamarack.streaming import stream
 
 
 def _work(spark) -> str:
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{path.rstrip('/')}/tamarack-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/tamarack-{uuid.uuid4().hex}"
 
 
 # adapters and cleaning
@@ -50,9 +50,13 @@ def clean_nested(spark, sf_dir):
     return out.select("conv_id", F.transform("turns", lambda t: t["r"]["text"]).alias("texts"))
 
 
-@query("SELECT count(*) AS total, 0::BIGINT AS null_strings, count(CASE WHEN trim(p_type) = '' THEN 1 END) AS blank_strings, count(*) AS trimmed_strings, count(*) AS kept, 0::BIGINT AS removed FROM part")
+@query("""WITH c AS (SELECT conv_id, CASE turn % 4 WHEN 0 THEN ' ' || text WHEN 1 THEN ' ' WHEN 2 THEN text END AS a, CASE WHEN turn % 3 > 0 THEN role END AS b FROM conversations)
+SELECT count(*) AS total, count(*) * 2 - count(a) - count(b) AS null_strings, count(CASE WHEN trim(a) = '' THEN 1 END) AS blank_strings, count(CASE WHEN trim(a) <> '' AND trim(a) <> a THEN 1 END) AS trimmed_strings,
+count(CASE WHEN coalesce(trim(a), '') <> '' OR b IS NOT NULL THEN 1 END) AS kept, count(*) - count(CASE WHEN coalesce(trim(a), '') <> '' OR b IS NOT NULL THEN 1 END) AS removed FROM c""")
 def clean_counters(spark, sf_dir):
-    return clean.counters(table(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit(" "), F.col("p_type")).alias("p_type"), "p_brand"))
+    c = table(spark, sf_dir, "conversations")
+    k = F.col("turn") % 4
+    return clean.counters(c.select(F.when(k == 0, F.concat(F.lit(" "), "text")).when(k == 1, " ").when(k == 2, F.col("text")).alias("a"), F.when(F.col("turn") % 3 > 0, F.col("role")).alias("b")))
 
 
 @query("SELECT conv_id, count(*) AS n FROM conversations WHERE turn < 3 GROUP BY conv_id")
@@ -108,9 +112,15 @@ def name_normalize(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", entities.normalize_name(F.col("p_type"), ("promo",)).alias("name"))
 
 
-@query()
+@query("""WITH RECURSIVE p AS (SELECT s_suppkey AS ord, c_custkey AS o2, c_name, lower(s_name) AS a, lower(c_name) AS b FROM supplier JOIN customer ON s_nationkey = c_nationkey),
+d AS (SELECT ord, o2, c_name, a, b, 0 AS i, list_transform(range(length(b) + 1), lambda x: 0::BIGINT) AS cells FROM p
+ UNION ALL SELECT ord, o2, c_name, a, b, i + 1, list_prepend(0::BIGINT, list_transform(range(1, length(b) + 1), lambda j: list_max(c[1:j])))
+ FROM (SELECT *, list_transform(range(1, length(b) + 1), lambda j: CASE WHEN substr(b, j, 1) = substr(a, i + 1, 1) THEN cells[j] + 1 ELSE cells[j + 1] END) AS c FROM d WHERE i < length(a))),
+m AS (SELECT ord, c_name, round(200.0::DOUBLE * cells[length(b) + 1] / (length(a) + length(b)), 6) AS s, o2 FROM d WHERE i = length(a)),
+best AS (SELECT * FROM m WHERE s >= 30 QUALIFY row_number() OVER (PARTITION BY ord ORDER BY s DESC, o2) = 1)
+SELECT s_suppkey AS ord, s_name AS name_vn, c_name AS name_en, coalesce(s, 0)::DOUBLE AS match_score FROM supplier LEFT JOIN best ON s_suppkey = ord""")
 def fuzzy_map(spark, sf_dir):
-    """Best names within a block; SQL has no such similarity, so the tests hold it against plain code."""
+    """Best names within a block; the SQL fills the table of common subsequences row by row."""
     s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("ord"), F.col("s_name").alias("name"), F.col("s_nationkey").cast("string").alias("province"))
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("ord"), F.col("c_name").alias("name"), F.col("c_nationkey").cast("string").alias("province"), F.lit("u").alias("source_url"))
     return entities.best_matches(s, c, 30.0).select("ord", "name_vn", "name_en", "match_score")
@@ -193,7 +203,6 @@ _parser("count_parse", "part", "p_partkey", lambda: F.concat(_c("p_size"), F.lit
 _parser("price_parse", "part", "p_partkey", lambda: F.concat(F.lit("Giá "), _c("p_size"), F.lit(".000đ - "), _c("p_partkey"), F.lit("k")), lambda c: [parse.parse_price(c).alias("price"), parse.price_range(c)["low"].alias("low"), parse.price_range(c)["high"].alias("high")], "SELECT p_partkey, p_size * 1000::BIGINT AS price, least(nullif(p_size, 0), nullif(p_partkey, 0)) * 1000::BIGINT AS low, CASE WHEN p_size > 0 AND p_partkey > 0 THEN greatest(p_size, p_partkey) * 1000::BIGINT END AS high FROM part")
 _parser("duration_parse", "part", "p_partkey", lambda: F.concat(_c("p_size"), F.lit("h "), (F.col("p_partkey") % 60).cast("string"), F.lit("p, "), F.lit("05:0"), (F.col("p_size") % 10).cast("string"), F.lit(" - 21:45")), lambda c: [parse.parse_duration(c).alias("minutes"), parse.opening_hours(c)["open"].alias("opens"), parse.opening_hours(c)["close"].alias("closes"), parse.is_time(parse.opening_hours(c)["open"]).alias("ok")], "SELECT p_partkey, (p_size * 60 + p_partkey % 60)::INT AS minutes, '05:0' || p_size % 10 AS opens, '21:45' AS closes, true AS ok FROM part")
 _parser("address_split", "supplier", "s_suppkey", lambda: F.concat_ws(", ", F.col("s_name"), F.lit("P. 1"), _c("s_nationkey"), F.lit(" City ")), lambda c: [parse.address(c)["address"].alias("address"), parse.address(c)["district"].alias("district"), parse.address(c)["city"].alias("city")], "SELECT s_suppkey, s_name || ', P. 1' AS address, s_nationkey::VARCHAR AS district, 'City' AS city FROM supplier")
-_parser("coordinate_parse", "supplier", "s_suppkey", lambda: F.concat(F.lit("https://m/@1"), (F.col("s_nationkey") % 10).cast("string"), F.lit(".5,10"), (F.col("s_nationkey") % 10).cast("string"), F.lit(".25,z")), lambda c: [parse.coordinates(F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("double"), F.lit(None).cast("double"), c)["lat"].alias("lat"), parse.is_vn_coordinate(F.lit(10.0), F.regexp_extract(c, ",([0-9.]+),", 1).cast("double")).alias("inside")], "SELECT s_suppkey, (10 + s_nationkey % 10 + 0.5)::DOUBLE AS lat, 100 + s_nationkey % 10 + 0.25 BETWEEN 102 AND 110.5 AS inside FROM supplier")
 _parser("hashtag_parse", "part", "p_partkey", lambda: F.concat(F.lit("x #"), F.regexp_replace("p_brand", "[^A-Za-z0-9]", "_"), F.lit(" #"), _c("p_size"), F.lit(" y#"), F.regexp_replace("p_brand", "[^A-Za-z0-9]", "_"), F.lit("!")), lambda c: [parse.hashtags(c).alias("tags")], "SELECT p_partkey, '#' || regexp_replace(p_brand, '[^A-Za-z0-9]', '_', 'g') || '|#' || p_size AS tags FROM part")
 _parser("photo_parse", "part", "p_partkey", lambda: F.concat(F.lit("https://x/media/photo-s/1a/"), _c("p_partkey"), F.lit("/n-150x100.jpg, https://x/b.jpg 2x")), lambda c: [parse.upgrade_photo(F.split_part(c, F.lit(","), F.lit(1))).alias("photo"), parse.photo_key(c).alias("key"), parse.srcset_last(c).alias("last")], "SELECT p_partkey, 'https://x/media/photo-o/1a/' || p_partkey || '/n.jpg' AS photo, NULL::VARCHAR AS key, 'https://x/b.jpg' AS last FROM part")
 _parser("path_parse", "part", "p_partkey", lambda: F.concat(F.lit("https://f.vn/(S(abc))/slug-"), _c("p_size"), F.lit("/food?x=1#y")), lambda c: [parse.province_slug(c).alias("slug"), parse.norm_url(c).alias("url"), parse.apply_domain(c, "https://new.vn").alias("moved"), parse.video_id(F.concat(F.lit("https://t/video/"), F.regexp_extract(c, "slug-([0-9]+)", 1))).alias("video")], "SELECT p_partkey, 'slug-' || p_size AS slug, 'https://f.vn/(S(abc))/slug-' || p_size || '/food?x=1' AS url, 'https://new.vn/(S(abc))/slug-' || p_size || '/food?x=1#y' AS moved, p_size::VARCHAR AS video FROM part")
@@ -206,12 +215,6 @@ _parser("rating_labels", "part", "p_partkey", lambda: F.get(F.array(F.lit("Chấ
 _parser("province_suffixes", "nation", "n_nationkey", lambda: F.concat(F.lit("food in "), F.lower("n_name")), lambda c: [parse.province_suffix(c, ["Nation", "China", "ia"]).alias("province")], "SELECT n_nationkey, CASE WHEN ends_with(lower(n_name), 'nation') THEN 'Nation' WHEN ends_with(lower(n_name), 'china') THEN 'China' WHEN ends_with(lower(n_name), 'ia') THEN 'ia' ELSE '' END AS province FROM nation")
 
 
-@query("SELECT page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title, len(regexp_extract_all(html, '<p>'))::INT AS n_paragraphs FROM pages")
-def html_fields(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
-    return p.select("page_id", F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1).alias("title"), F.size(F.regexp_extract_all("html", F.lit("<p>"), F.lit(0))).alias("n_paragraphs"))
-
-
 @query("SELECT event_id, json_valid(props) AS ok, len(json_keys(props))::INT AS n_keys FROM events")
 def json_props(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$").isNotNull().alias("ok"), F.size(F.json_object_keys("props")).alias("n_keys"))
@@ -332,16 +335,3 @@ def stream_state(spark, sf_dir):
     q = stream.running_totals(stream.files(spark, f"{path}/in", static.schema), "user_id", "value").writeStream.format("memory").queryName(name).option("checkpointLocation", f"{path}/ck").outputMode("update").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.table(name).groupBy("user_id").agg(F.max("n").alias("n"))
-
-
-@query("SELECT status, count(*) AS n FROM (SELECT unnest(['ok', 'ok', 'ok', 'ok', 'ok', 'ok', 'ok']) AS status) GROUP BY ALL")
-def stage_pipeline(spark, sf_dir):
-    """S1 to S7 written stage by stage: the run log's states."""
-    from dataclasses import replace
-
-    from tamarack.plans import pipeline
-
-    cfg = replace(CFG, output_root=_work(spark))
-    docs = comments(spark, sf_dir)
-    pipeline.run(spark, "all", "run1", cfg, docs.withColumn("source", F.lit("all")))
-    return sinks.read_log(spark, cfg.output_root, "run1").groupBy("status").agg(F.count("*").alias("n"))

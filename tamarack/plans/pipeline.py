@@ -24,7 +24,8 @@ def now() -> Column:
 
 def s1(comments: DataFrame, run_id: str, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
     """Comments with their normalized text; those without any go."""
-    df = comments.withColumn("normalized_text", normalize(F.col("raw_text"), cfg.text)).filter(F.length("normalized_text") > 0)
+    some = comments.orderBy("comment_id").limit(cfg.limit) if cfg.limit else comments
+    df = some.withColumn("normalized_text", normalize(F.col("raw_text"), cfg.text)).filter(F.length("normalized_text") > 0)
     return df.withColumns({"run_id": F.lit(run_id), "processed_at": now()}).select(*fields("s1_comments"))
 
 
@@ -39,6 +40,8 @@ def s2(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
 
 
 def s3(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
+    """Scores of sentences; with a limit, of the first ones by id."""
+    rows = rows.orderBy("sentence_id").limit(cfg.limit) if cfg.limit else rows
     if provider_of(cfg) == "stub":
         return scoring.with_stub(rows, "sentence_text", cfg.model_version).select(*fields("s3_predictions"))
     load = scoring.transformers_model(cfg.model_dir, cfg.max_length)
@@ -46,7 +49,7 @@ def s3(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
 
 
 def s4(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> tuple[DataFrame, DataFrame]:
-    return quality.split(rows, cfg.quality)
+    return quality.split(rows, cfg.quality, pin=True)
 
 
 def s6(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
@@ -55,7 +58,7 @@ def s6(rows: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
 
 def _scorer(cfg: PipelineConfig) -> Callable[[DataFrame], DataFrame]:
     if provider_of(cfg) == "stub":
-        return lambda df: scoring.with_stub(df, "_text", cfg.model_version)
+        return scoring.stub_scorer(cfg.model_version)
     load = scoring.transformers_model(cfg.model_dir, cfg.max_length)
     return lambda df: scoring.with_model(df, "_text", load, f"{cfg.provider}:{cfg.model_dir}", cfg.model_version, cfg.batch_size)
 
@@ -94,6 +97,7 @@ def run(spark: SparkSession, source: str, run_id: str, cfg: PipelineConfig = Pip
         if stage == "s5":
             judged = quality.judged(got("s3_predictions"), cfg.quality)
             report = one_row(metrics.compute(judged)) | {"reasons": {r["reason"]: r["n"] for r in metrics.reason_histogram(judged).collect()}, "consistency": one_row(metrics.label_consistency(got("s4_final")))}
+            report["warnings"] = quality.warnings({k: report[f"{k}_share"] for k in cfg.quality.labels}, set(), 0, cfg=cfg.quality)
             sinks.write_report(spark, root, run_id, report)
             return {"rows_out": report["valid"], "metrics": report}
         if stage == "s6":
@@ -103,11 +107,12 @@ def run(spark: SparkSession, source: str, run_id: str, cfg: PipelineConfig = Pip
             return {"rows_out": got("s6_aspects").count()}
         if not cfg.aspects.enabled:
             return {"status": "skipped", "rows_out": 0}
-        good, bad = quality.split(s7(got("s6_aspects"), run_id, cfg), cfg.quality, absa=True)
+        good, bad = quality.split(s7(got("s6_aspects"), run_id, cfg), cfg.quality, absa=True, pin=True)
         sinks.write_stage(good, root, "s7_absa")
         sinks.write_stage(bad.withColumn("stage", F.lit("s7")), root, "quarantine_absa", ("source", "run_id", "stage"))
         sinks.publish(absa.ml_rows(got("s7_absa")), f"{root}/ml_absa")
         report = one_row(metrics.absa_summary(got("s7_absa"), got("s2_sentences").count()))
+        report["warnings"] = quality.warnings(*one_row(metrics.warning_inputs(got("s7_absa"))).values(), coverage=report["aspect_coverage"], cfg=cfg.quality)
         sinks.write_report(spark, root, run_id, report, absa=True)
         return {"rows_out": report["total"], "metrics": report}
 

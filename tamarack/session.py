@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,12 +29,24 @@ def session(app: str = "tamarack", master: str | None = None, shuffle_partitions
     return b.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``. Where that is unset, a local session, as in tests, uses a folder of this machine; on a
+    cluster that is an error, as executors do not see each other's files."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that the driver and all executors share")
+        path = f"file://{tempfile.gettempdir()}/tamarack-{os.getuid()}"
+        spark.conf.set("spark.checkpoint.dir", path)
+    return path.rstrip("/")
+
+
 def pinned(df: DataFrame) -> DataFrame:
-    """``df`` as a checkpoint in the shared folder of ``spark.checkpoint.dir``; where that is unset, as in tests, in the warehouse. For
-    columns that another evaluation could give other values, such as partition numbers."""
+    """``df`` as a checkpoint in the shared folder. For columns that another evaluation could give other values, such as partition
+    numbers, and for rows that several outputs read."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints")
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 

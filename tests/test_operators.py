@@ -62,7 +62,7 @@ def test_quality_reasons(spark):
     assert quality.judged(only).first()["quarantine_reasons"] == ["MISSING_FIELDS"] * 5 + ["EMPTY_TEXT", "INVALID_LABEL"]
     m = metrics.compute(quality.judged(df)).first()
     assert (m["total"], m["valid"], m["quarantine_rate"], m["positive_count"]) == (4, 1, 0.75, 1)
-    assert quality.warnings({"negative": 0.0, "neutral": 0.5, "positive": 0.5}, 1.0, set(), 1, QualityConfig()) == ["label negative: 0.0000 of the rows"]
+    assert quality.warnings({"negative": 0.0, "neutral": 0.5, "positive": 0.5}, set(), 1, 1.0, QualityConfig()) == ["label negative: 0.0000 of the rows"]
     empty = metrics.compute(quality.judged(df.limit(0))).first()
     assert (empty["total"], empty["quarantine_rate"], empty["avg_score"]) == (0, 0.0, 0.0)
 
