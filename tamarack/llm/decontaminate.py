@@ -47,7 +47,7 @@ _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 
 @dataclass(frozen=True)
 class Params:
-    rank: int = 64
+    rank: int = 32
     over: int = 8
     rest: int = 32
     hashed: int = 15
