@@ -8,7 +8,8 @@ was dealt), until a node is one shard. Quantiles come from histograms of 2**13 b
 so only bounded histograms reach the driver. Ties in a dimension are ordered by a hash of the text.
 
 Null texts are empty; null sources, languages and ids are values like others. Rows that repeat an id and a text count as
-two. An empty table gives an empty result; extra columns are ignored.
+two. An empty table gives an empty result; extra columns, whatever their names, are ignored. A very long text is a heavy group like a
+frequent one; only its size and hashes travel.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tamarack.llm.common import staged
+from tamarack.llm.common import dropped, staged
 
 SHARDS = 16
 HEAVY = 100  # groups over 1/HEAVY of a shard are dealt first
@@ -69,6 +70,7 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     rest = placed.filter("n IS NULL").join(light.select("g", F.col("node").cast("int").alias("shard")), "g")
     cols = ["doc_id", "size", "text_crc32", "shard"]
     out = staged(own.select(*cols).unionAll(rest.select(*cols)), "shard-placed")
+    dropped(rows, groups, light)
     return _slots(out)
 
 
@@ -96,7 +98,7 @@ def _dealt(rows: DataFrame, groups: DataFrame, target: float, shards: int) -> tu
 
 def _split(light: DataFrame, room: list[float], shards: int) -> DataFrame:
     nodes = {0: Node(0, shards - 1)}
-    whole = None
+    whole = last = None
     while any(n.last > n.first for n in nodes.values()):
         stats = {r["node"]: r for r in light.groupBy("node").agg(F.sum("bytes").alias("bytes"), *[f(d).alias(f"{k}_{d}") for d in DIMS for k, f in (("lo", F.min), ("hi", F.max))]).collect()}
         whole = whole or {d: max([1, *(r[f"hi_{d}"] - r[f"lo_{d}"] for r in stats.values())]) for d in DIMS}
@@ -109,9 +111,12 @@ def _split(light: DataFrame, room: list[float], shards: int) -> DataFrame:
         cut = _quantiles(keyed, {k: share[k] * stats[k]["bytes"] for k in wide}, {k: stats[k]["bytes"] / 2000 / (nodes[k].last - nodes[k].first + 1) for k in wide})
         # a node is named by its first shard
         light = keyed.withColumn("node", F.coalesce(F.when(F.col("c") >= _case("node", cut), _case("node", {k: middle[k] + 1 for k in cut})), F.col("node"))).drop("c")
-        light = staged(light, "shard-nodes")
+        light, before = staged(light, "shard-nodes"), last
+        if before is not None:
+            dropped(before)
+        last = light
         nodes = {k: n for k, n in nodes.items() if k not in open_} | {n.first: Node(n.first, middle[k]) for k, n in open_.items()} | {middle[k] + 1: Node(middle[k] + 1, n.last) for k, n in open_.items()}
-    return light
+    return light if last is not None else staged(light, "shard-nodes")
 
 
 def _quantiles(keyed: DataFrame, goal: dict, slack: dict) -> dict:
