@@ -283,7 +283,9 @@ def written(docs: DataFrame, model: str, path: str | None = None) -> str:
         raw = packed(np.frombuffer(b"".join(ids), "<u4").astype(np.int64), keys, sizes)
         return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seg], pa.int32()), pa.array([len(keys)], pa.int64()), pa.array([n], pa.int64()), pa.array([raw], pa.binary())], names=["part", "seg", "n_docs", "n_ids", "payload"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text", F.lit(7)).alias("h"))
+    # rows that share an id, or have none, go by their text's hash, so that no part gets them all
+    rows = rows.repartitionByRange(parts, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
     rows.mapInArrow(run, "part int, seg int, n_docs long, n_ids long, payload binary").write.option("compression", "uncompressed").parquet(path)
     return path
 
