@@ -3,24 +3,20 @@
 from __future__ import annotations
 
 import gc
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamarack.session import shared_folder
+
 #: The white space of every contract here: space and 0x09-0x0D.
 WS = " \t\n\x0b\x0c\r"
 
 
 def workdir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; only where that is unset, as in tests, a folder of this machine."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = f"file://{tempfile.gettempdir()}/tamarack-{os.getuid()}"
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    """The shared folder of ``spark.checkpoint.dir``; an error on a cluster where that is unset."""
+    return shared_folder(spark)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -40,7 +40,7 @@ WIDTHS = (24, 48, 72, 96, 144, 192)
 STRETCH = 1 << 15
 GROUP = 1024  # items that are searched for together
 DENSE = 1 << 24  # cells of a table of words by items; larger ones are lists
-CACHE = 400_000
+CACHE = 200_000
 _EDGE = re.compile(r"^\W+|\W+$")
 _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 

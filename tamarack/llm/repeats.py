@@ -34,7 +34,7 @@ BLOCK = 1 << 18
 BUCKET = 8_192
 ROWS = 2_048
 WINDOWS = 1 << 18
-PIECE = 1 << 20
+PIECE = 1 << 18
 _ONE = np.uint64(1)
 FULL = -(1 << 30)
 
