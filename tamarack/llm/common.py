@@ -58,8 +58,3 @@ def published(spark: SparkSession, name: str, data: bytes) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def tidy(docs: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, by position of the first match, so that extra columns never clash."""
-    return docs.select(*[F.col(n) for n in names])

@@ -47,12 +47,12 @@ _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 
 @dataclass(frozen=True)
 class Params:
-    rank: int = 32
+    rank: int = 48
     over: int = 8
     rest: int = 32
-    hashed: int = 15
+    hashed: int = 13
     cosine: float = 0.4
-    near: float = 0.8
+    near: float = 0.9
     lcs: float = 0.8
     paraphrase: float = 0.6
     reworded: float = 0.5

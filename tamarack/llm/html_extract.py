@@ -31,7 +31,7 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 OUT_TAGS = frozenset("head script style noscript template nav aside footer form menu dialog button select textarea iframe object embed svg canvas audio video map datalist label input".split())
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: Words of a class or id for the same.
-ADVERTS = frozenset("ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo cookie cookies consent gdpr notice notices banner popup modal".split())
+ADVERTS = frozenset("ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo cookie cookies consent gdpr notice notices alert alerts banner popup modal newsletter subscribe".split())
 OUT_WORDS = ADVERTS | frozenset("nav navbar navigation menu menubar breadcrumb breadcrumbs masthead footer sidebar aside comment comments commentlist disqus respond".split())
 CONTAINERS = ("article", "main")
 REGIONS = frozenset("body div section td th center details fieldset".split())
@@ -124,6 +124,8 @@ class Lines(HTMLParser):
                 names = [v.lower()] if tag == "article" else [w.lower() for w in _NAME.findall(v)]
                 if words := OUT_WORDS.intersection(names):
                     return ADVERT if words & ADVERTS else OUT
+                if "header" in names and not inside:
+                    return OUT
         return 0
 
     def handle_startendtag(self, tag, attrs):

@@ -193,10 +193,16 @@ def grouped(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
     return _joined(docs, words, bits).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicated(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
+def deduplicated(docs: DataFrame, words: int = WORDS, bits: int = BITS, similarity: float | None = None) -> DataFrame:
     """One document of each component: the one with the smallest id (a null one last), of several with this id the one whose id and text
-    have the smallest hash; of rows that repeat id and text, one."""
-    return one_each(docs, _joined(docs, words, bits))
+    have the smallest hash; of rows that repeat id and text, one. With a ``similarity``, documents link by the Jaccard similarity of
+    their shingles instead of the bits in which fingerprints differ, see ``near_copies``: at 0.8, some ten of 64 bits differ, more than
+    cells of a grid can tell from chance."""
+    if similarity is None:
+        return one_each(docs, _joined(docs, words, bits))
+    from tamarack.llm import near_copies
+
+    return near_copies.deduplicated(docs, words, similarity)
 
 
 def one_each(docs: DataFrame, groups: DataFrame) -> DataFrame:

@@ -535,22 +535,121 @@ def test_lcs_against_the_table():
         assert decontaminate.lcs(np.array(a, int), np.array(b, int)) == t[-1][-1]
 
 
-def test_pipeline_stages(spark):
+CLASHING = "k a g n fp row root sid cells own component_id slot shard size law n_tokens start n_words n_removed kept b h h2 seg part tag metric v c rest w1 at node piece bytes ids p leaf text_crc32 doc label".split()
+
+
+def results():
+    word, byte = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+    bench = lambda df: df.sparkSession.createDataFrame([(1, " ".join(BASE[0].split()[:20]))], "item_id long, text string")
+    return {
+        "op1": quality_rules.query, "op2": substring_dedup.digests, "op3": simhash.grouped, "op6": sharding.sharded, "op7": lambda df: token_output.digests(df, word),
+        "op8": suffix_dedup.digests, "op9": lambda df: bpe.digests(df, byte), "op10": lambda df: decontaminate.leaks(df, bench(df)), "near": near_copies.grouped,
+    }
+
+
+@pytest.mark.parametrize("name", sorted(results()))
+def test_clashing_names_change_nothing(docs, name):
+    one = docs.drop("n")
+    more = one.select("*", *[F.lit("x").alias(c) for c in CLASHING])
+    run = results()[name]
+    plain = lambda df: sorted(str(r) for r in df.select(*sorted(df.columns)).collect())
+    assert plain(run(more)) == plain(run(one))
+
+
+def test_very_long_text(spark):
+    from tokenizers import Tokenizer
+
+    draw = random.Random(2)
+    text = " ".join("".join(draw.choice("abcdefghij") for _ in range(draw.randrange(2, 9))) for _ in range(200_000)) + " é\n"
+    df = spark.createDataFrame([(1, text, "en", "s"), (2, "short one", "en", "s"), (3, text[:500_000], "en", "s")], "doc_id long, text string, lang string, source string")
+    word, byte = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+    n = {r["doc_id"]: r["n_tokens"] for r in token_output.digests(df, word).collect()}
+    assert n[1] == len(Tokenizer.from_file(word).encode(text, add_special_tokens=False).ids) + 1
+    ids = np.array(Tokenizer.from_file(byte).encode(text, add_special_tokens=False).ids, "<u4")
+    got = {r["doc_id"]: (r["ids_sha256"], r["decoded_sha256"]) for r in bpe.digests(df, byte).collect()}
+    assert got[1] == (hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+    assert sorted(r["size"] for r in sharding.sharded(df).collect()) == sorted(len(t.encode()) + 1 for t in (text, "short one", text[:500_000]))
+    spans = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in suffix_dedup.digests(df).collect()}
+    assert spans == {1: (500_000, 1), 2: (0, 0), 3: (500_000, 1)}
+    cut = {r["doc_id"]: r["n_removed"] for r in substring_dedup.digests(df).collect()}
+    whole = len(text[:500_000].split())
+    assert cut[3] >= whole - 1 and cut[1] == cut[3] and cut[2] == 0
+    assert url_filters.judged(spark.createDataFrame([(1, "http://a.net/" + "x/" * 500_000)], "page_id long, url string")).first()["verdict"] == "block"
+
+
+def test_op5_empty_table(spark):
+    assert url_filters.judged(spark.createDataFrame([], "page_id long, url string, rule int")).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_op7_parts_and_segments(docs, monkeypatch, parts):
+    """Starts run on over parts and segments."""
+    monkeypatch.setattr(token_output, "PART_BYTES", 4_000 // parts)
+    model = public_tokenizers.path("word_bpe_49k.json")
+    rows = sorted(token_output.digests(docs, model).collect(), key=lambda r: r["start"])
+    assert rows[0]["start"] == 0 and all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(rows, rows[1:], strict=False))
+    assert [r["doc_id"] for r in rows if r["doc_id"] is not None] == sorted(r["doc_id"] for r in rows if r["doc_id"] is not None)
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    """Each stage on what the one before kept, over all rows of the smallest tables."""
     import os
 
     import corpus_pipeline
+    import duckdb
+    from tokenizers import Tokenizer
 
     folder = "/root/testdata/sf0.001"
     if not os.path.isdir(folder):
         pytest.skip("no test tables")
     docs = common.table(spark, folder, "documents")
-    before = docs
+    kept, before = {}, docs
     for name, stage in corpus_pipeline.STAGES[:-1]:
         after = common.staged(stage(spark, before, folder), f"test-{name}")
-        assert after.columns == docs.columns and after.count() <= before.count()
+        assert after.columns == docs.columns
+        kept[name] = {r["doc_id"]: r["text"] for r in after.collect()}
+        assert after.count() == len(kept[name])
         before = after
-    last = corpus_pipeline.run(spark, folder)
-    assert {r["doc_id"] for r in last.select("doc_id").collect()} == {r["doc_id"] for r in before.select("doc_id").collect()}
-    texts = {r["doc_id"]: r["text"] for r in before.collect()}
-    assert all(r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest() for r in last.collect())
-    assert last.filter(F.length("ids_sha256") != 64).count() == 0
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    good = dict(duck.execute(f"SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM ({quality_rules.oracle()}) WHERE kept)").fetchall())
+    assert kept["quality_rules"] == good
+
+    def own(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+    made = sorted((d, own(t)) for d, t in good.items())
+    top = groups_of([(d, e) for d, a in made for e, b in made if 5 * len(a & b) >= 4 * len(a | b)])
+    single = {d: good[d] for d, _ in made if top[d] == d}
+    assert kept["simhash_near_dedup"] == single
+    ids = sorted(single)
+    words = [tuple((single[d] or "").encode().split()) for d in ids]
+    cut = {d: b" ".join(x for x, y in zip(w, c, strict=True) if not y) for d, w, c in zip(ids, words, covered(words, 50), strict=True)}
+    got = kept["suffix_array_dedup"]
+    assert {d: b" ".join((t or "").encode().split()) for d, t in got.items()} == cut
+
+    p = decontaminate.Params()
+    items = dict(duck.execute(f"SELECT item_id, text FROM '{folder}/benchmark.parquet'").fetchall())
+    vocab = decontaminate.Vocabulary(sorted({w for t in items.values() for w in decontaminate.tokens(t)}), p.hashed)
+    cuts = [decontaminate.Item.cut(k, t, vocab.own)[0] for k, t in items.items() if decontaminate.tokens(t)]
+
+    def leaks(x, ids):
+        n = len(x.ids)
+        if np.isin(x.ids, ids).mean() < p.paraphrase:
+            return False
+        for a in range(0, max(1, len(ids) - n), max(1, n // 2)):
+            share, answer = (decontaminate.lcs(y, ids[a : a + 2 * n]) / len(y) for y in (x.ids, x.answer))
+            if share >= p.lcs or share >= p.paraphrase and answer >= p.answer:
+                return True
+        return False
+
+    read = {d: vocab.read(t) for d, t in got.items()}
+    assert kept["benchmark_decontamination"] == {d: t for d, t in got.items() if not any(leaks(x, read[d]) for x in cuts)}
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    last = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, folder).collect()}
+    want = {}
+    for d, t in kept["benchmark_decontamination"].items():
+        i = library.encode(t or "", add_special_tokens=False).ids
+        want[d] = (len(i), hashlib.sha256(np.array(i, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
+    assert last == want
