@@ -23,25 +23,28 @@ from __future__ import annotations
 
 import re
 import uuid
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamarack.llm.common import staged
+from tamarack.llm.repeats import mixed, stretches
 
 STEP = 8
-WIDTHS = (24, 48, 72, 96, 144, 192)
-STRETCH = 1 << 15
+WIDTHS = (24, 48, 96, 192)
+STRETCH = 1 << 14
+PIECE = 1 << 22  # bytes of text that are read at once
+ENTRIES = 20_000  # of the TF-IDF matrix that are multiplied at once
+CELLS = 1 << 18  # numbers of the windows' vectors that are compared at once
 GROUP = 1024  # items that are searched for together
 DENSE = 1 << 24  # cells of a table of words by items; larger ones are lists
-CACHE = 200_000
-_EDGE = re.compile(r"^\W+|\W+$")
+#: Marks that are cut off a word's ends: all characters of the common planes that are neither letters, digits, spaces nor underscores.
+MARKS = "".join(c for c in map(chr, range(0x3040)) if not (c.isalnum() or c.isspace() or c == "_"))
 _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 
 
@@ -61,41 +64,60 @@ class Params:
     seed: int = 17
 
 
-def plain(word: str) -> str:
-    return word if word.isalnum() else _EDGE.sub("", word)
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts in a row (lower case, without marks at their ends; words of marks only are empty), and the text of each."""
+    lists = pc.utf8_split_whitespace(pc.utf8_lower(texts))
+    return pc.utf8_trim(lists.flatten(), MARKS), np.repeat(np.arange(len(texts)), np.diff(np.asarray(lists.offsets)))
 
 
 def tokens(text: str) -> list[str]:
-    return [w for w in map(plain, text.lower().split()) if w]
+    return [w for w in split(pa.array([text], pa.string()))[0].to_pylist() if w]
 
 
 class Vocabulary:
-    """Numbers of words: those of the benchmark, then shared ones for all others. Words of marks only do not count. Raw forms are kept
-    as they come up."""
+    """Numbers of words: those of the benchmark, then shared ones for all others, by a hash of their first and last eight bytes and length."""
 
     def __init__(self, words: list[str], hashed: int):
         self.own = {w: k for k, w in enumerate(words)}
-        self.seen = dict(self.own)
-        self.shared = 1 << hashed
-
-    def number(self, raw: str) -> int:
-        word = plain(raw)
-        if not word:
-            return -1
-        k = self.own.get(word, -1)
-        return k if k >= 0 else len(self.own) + zlib.crc32(word.encode("utf-8", "surrogatepass")) % self.shared
+        self.words = pa.array(words, pa.string())
+        self.shared = np.uint64((1 << hashed) - 1)
+
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """-1 for empty words."""
+        if not len(words):
+            return np.zeros(0, np.int32)
+        end = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+        begin, end = end[:-1], end[1:]
+        size = end - begin
+        raw = np.concatenate([np.frombuffer(words.buffers()[2] or b"", np.uint8), np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(raw) - 7, "<u8", raw, 0, (1,))
+        bits = (8 * (8 - np.clip(size, 1, 8))).astype(np.uint64)
+        ends = (eight[begin] << bits) * np.uint64(0x9E3779B97F4A7C15) ^ (eight[np.maximum(begin, end - 8)] << bits)
+        other = (mixed(ends + size.astype(np.uint64)) & self.shared).astype(np.int32) + np.int32(len(self.own))
+        own = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False)
+        return np.where(size == 0, -1, np.where(own >= 0, own, other)).astype(np.int32)
 
     def read(self, text: str | None) -> np.ndarray:
-        raw = (text or "").lower().split()
-        ids = np.fromiter(map(self.seen.get, raw, repeat(-2)), np.int32, len(raw))
-        new = np.flatnonzero(ids == -2).tolist()
-        if new:
-            room = CACHE + len(self.own) - len(self.seen)
-            got = [self.number(raw[i]) for i in new]
-            ids[new] = got
-            if room > 0:
-                self.seen.update(zip([raw[i] for i in new[:room]], got[:room], strict=True))
-        return ids[ids >= 0]
+        (out,) = self.read_all(pa.array([text], pa.string()))
+        return out
+
+    def read_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The numbers of each text's words; about ``PIECE`` bytes are read at once."""
+        texts = texts.fill_null("")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE, "right")))
+            some = texts.slice(at, to - at)
+            if to == at + 1 and ends[at] - (ends[at - 1] if at else 0) > PIECE:
+                pieces = (pa.array([x.decode()], pa.string()) for x in stretches(some[0].as_py().encode(), PIECE))
+                yield np.concatenate([x[x >= 0] for x in (self.numbers(split(p)[0]) for p in pieces)])
+            else:
+                words, of = split(some)
+                ids = self.numbers(words)
+                ids, of = ids[ids >= 0], of[ids >= 0]
+                yield from np.split(ids, np.searchsorted(of, np.arange(1, to - at)))
+            at = to
 
 
 def weights(n: int, df: np.ndarray) -> np.ndarray:
@@ -109,6 +131,7 @@ class Item:
     ids: np.ndarray
     answer: np.ndarray
     piece: np.ndarray  # what is searched for
+    places: dict | None = None
 
     @staticmethod
     def cut(item_id: int, text: str, number: dict[str, int]) -> list[Item]:
@@ -124,17 +147,21 @@ def width_of(n: int) -> int:
     return next((w for w in WIDTHS if n <= w - w // 3), WIDTHS[-1])
 
 
-def lcs(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence, by bit-parallel rows."""
+def places_of(a: np.ndarray) -> dict[int, int]:
+    """For each number, the bits of its places."""
     where: dict[int, int] = {}
     for k, x in enumerate(a.tolist()):
         where[x] = where.get(x, 0) | 1 << k
+    return where
+
+
+def lcs(a: np.ndarray, b: np.ndarray, where: dict[int, int] | None = None) -> int:
+    """Length of the longest common subsequence, by bit-parallel rows; ``where``: the places of ``a``, if known."""
     full = (1 << len(a)) - 1
     v = full
-    for x in b.tolist():
-        if m := where.get(x):
-            u = v & m
-            v = ((v + u) | (v - u)) & full
+    for m in filter(None, map((where or places_of(a)).get, b.tolist())):
+        u = v & m
+        v = ((v + u) | (v - u)) & full
     return len(a) - v.bit_count()
 
 
@@ -156,7 +183,7 @@ def _read(docs: DataFrame, words: list[str], hashed: int) -> DataFrame:
     def run(batches):
         vocab = _once(("v", tag), lambda: Vocabulary(shared.value, hashed))
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([vocab.read(t.as_py()).tobytes() for t in batch.column(1)], pa.binary())], names=["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in vocab.read_all(batch.column(1))], pa.binary())], names=["doc_id", "ids"])
 
     return staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary"), "benchmark-words")
 
@@ -229,7 +256,7 @@ def _basis(read: DataFrame, idf: np.ndarray, p: Params) -> np.ndarray:
             for entry in _passages(np.concatenate(texts), weights, WIDTHS[1]):
                 held.append(entry)
                 n += len(entry[1])
-                if n > 100_000:
+                if n > ENTRIES:
                     added()
                     held, n = [], 0
 
@@ -303,6 +330,8 @@ class Search:
         self.low = _projection(idf, basis, p)
         self.rank = basis.shape[1]
         self.groups = []
+        for x in items:
+            x.places = places_of(x.ids)
         for width in WIDTHS:
             of = [x for x in items if width_of(len(x.piece)) == width]
             for k in range(0, len(of), GROUP):
@@ -311,12 +340,12 @@ class Search:
                 v = np.stack([self.low[x.piece[_fresh(x.piece, np.arange(len(x.piece)))]].sum(axis=0) for x in own])
                 unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
                 least = (p.cosine * np.sqrt(np.minimum(1.0, n / width))).astype(np.float32)
-                keys = np.unique(np.concatenate([x.piece.astype(np.int64) + j * n_own for j, x in enumerate(own)]))
+                keys, times = np.unique(np.concatenate([x.piece.astype(np.int64) + j * n_own for j, x in enumerate(own)]), return_counts=True)
                 table = None
                 if len(own) * n_own <= DENSE:
                     table = np.zeros(len(own) * n_own, bool)
                     table[keys] = True
-                self.groups.append((width, own, n, unit(v).T.copy(), unit(v[:, : self.rank]).T.copy(), least, keys, table))
+                self.groups.append((width, own, n, unit(v).T.copy(), unit(v[:, : self.rank]).T.copy(), least, keys, times, table))
 
     def found(self, texts: list[np.ndarray]) -> list[dict[int, tuple[float, float, float]]]:
         """For each document: item id -> best (share of the item, share of its answer, latent cosine). Short documents are worked off
@@ -351,13 +380,13 @@ class Search:
         begin = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
         low[block[begin] + 1] = np.add.reduceat(self.low[ids[at]], begin, axis=0)
         np.cumsum(low, axis=0, out=low)
-        for width, items, n_words, whole, latent, least, keys, table in self.groups:
+        for width, items, n_words, whole, latent, least, keys, times, table in self.groups:
             n = width // STEP
             count = -(-np.maximum(1, n_blocks - n + n // 3) // (n // 3))
             text = np.repeat(np.arange(len(held)), count)
             start = first[text] + (np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)) * (n // 3)
             end = np.minimum(start + n, (first + n_blocks)[text])
-            some = max(1, (1 << 21) // len(items))
+            some = max(1, CELLS // max(len(items), self.low.shape[1]))
             for x in range(0, len(start), some):
                 v = low[end[x : x + some]] - low[start[x : x + some]]
                 square = v * v
@@ -371,7 +400,12 @@ class Search:
                 window += x
                 # no common subsequence has more words than there are places with a word of the item
                 share = np.where(close, min(self.p.reworded, self.p.paraphrase), self.p.paraphrase)
-                keep = np.concatenate([self._places(ids, start[window[k : k + 4096]], width, item[k : k + 4096], keys, table) for k in range(0, len(window), 4096)]) >= share * n_words[item] - 1e-9
+                need = share * n_words[item] - 1e-9
+                keep = np.concatenate([self._places(ids, start[window[k : k + 4096]], width, item[k : k + 4096], keys, table) for k in range(0, len(window), 4096)]) >= need
+                window, item, near, need = window[keep], item[keep], near[keep], need[keep]
+                if not len(window):
+                    continue
+                keep = self._shared(ids, start[window], width, item, keys, times) >= need
                 window, item, near = window[keep], item[keep], near[keep]
                 self._check(held, items, first, text, start, end, window, item, near)
 
@@ -385,6 +419,14 @@ class Search:
         at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
         return ((keys[at] == key) & own).sum(axis=1)
 
+    def _shared(self, ids: np.ndarray, start: np.ndarray, width: int, item: np.ndarray, keys: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """For each pair of window and item, how many of the item's words the window has, repeats in the item included."""
+        word = np.sort(ids[start[:, None] * STEP + np.arange(width)], axis=1)
+        new = np.concatenate([np.ones((len(word), 1), bool), word[:, 1:] != word[:, :-1]], axis=1) & (word < self.n_own)
+        key = item[:, None].astype(np.int64) * self.n_own + word
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return (times[at] * ((keys[at] == key) & new)).sum(axis=1)
+
     def _check(self, held, items, first, text, start, end, window, item, near) -> None:
         done = set()
         for k in np.argsort(-near, kind="stable").tolist():  # the nearest first: an item found whole is not checked again
@@ -406,7 +448,7 @@ class Search:
         p = self.p
         if out.get(item.item_id, (0.0,))[0] == 1.0:
             return
-        share = lcs(item.ids, around) / len(item.ids)
+        share = lcs(item.ids, around, item.places) / len(item.ids)
         if share < (p.reworded if near >= p.near else p.paraphrase):
             return
         answer = lcs(item.answer, around) / len(item.answer)

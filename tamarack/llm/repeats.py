@@ -135,7 +135,7 @@ class Words:
     @staticmethod
     def symbols(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if len(texts) == 1 and len(texts[0]) > PIECE:  # by stretches, as the sums take many times the text's memory
-            own = np.concatenate([Words._line(x)[0] for x in _stretches(texts[0])])
+            own = np.concatenate([Words._line(x)[0] for x in stretches(texts[0], PIECE)])
             return own, np.array([len(own)])
         own, begin = Words._line(b"\n".join(texts))
         return own, np.searchsorted(begin, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1))
@@ -173,11 +173,11 @@ class Words:
         return Bytes.rest(text, edge[::2][starts], edge[1::2][ends - 1])
 
 
-def _stretches(text: bytes) -> Iterator[bytes]:
-    """Cut at white space after every ``PIECE`` bytes; a longer word stays whole."""
+def stretches(text: bytes, size: int) -> Iterator[bytes]:
+    """Cut at white space after every ``size`` bytes; a longer word stays whole."""
     at = 0
     while at < len(text):
-        to = at + PIECE
+        to = at + size
         while to < len(text) and not _SPACE[text[to]]:
             to += 1
         yield text[at:to]

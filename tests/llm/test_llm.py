@@ -436,11 +436,13 @@ def test_op10_places(monkeypatch, dense):
     items = [decontaminate.Item(k, x, x[-5:], x) for k, x in enumerate(pieces)]
     search = decontaminate.Search(items, np.ones(40), np.ones((40, 2), np.float32), 30, decontaminate.Params())
     ids = np.array(random.choices(range(41), k=80), np.int32)
-    ((width, _, n, _, _, _, keys, table),) = search.groups
+    ((width, _, n, _, _, _, keys, times, table),) = search.groups
     assert (table is None) == (dense == 0) and width == 24 and n.tolist() == [15] * 7
     start, item = np.repeat(np.arange(7), 7), np.tile(np.arange(7), 7)
     want = [sum(int(x) in set(pieces[i].tolist()) for x in ids[8 * s : 8 * s + 24]) for s, i in zip(start, item, strict=True)]
     assert search._places(ids, start, 24, item, keys, table).tolist() == want
+    want = [sum(int(x) in set(ids[8 * s : 8 * s + 24].tolist()) for x in pieces[i]) for s, i in zip(start, item, strict=True)]
+    assert search._shared(ids, start, 24, item, keys, times).tolist() == want
 
 
 def reworded_corpus():
@@ -525,6 +527,20 @@ def test_op10_long_items_across_stretches(spark):
     assert all(got[d + k, k] == 1.0 for d in (0, 100) for k, _ in items)
 
 
+def test_op10_words_in_any_script(monkeypatch):
+    """Words of a batch, of one text, and of pieces of it are the same."""
+    words = ["don't", "stop", "été", "日本", "x_y", "a" * 30, "i̇stanbul"]
+    vocab = decontaminate.Vocabulary(words, 10)
+    texts = ["«Don't» (STOP)! ... été, 日本  x_y\t_ é— " + "A" * 30, "", " \n ", "stop", None, "...", "Other words, and other words."]
+    one = [vocab.read(t).tolist() for t in texts]
+    assert one[0][:5] == [0, 1, 2, 3, 4] and one[0][-1] == 5 and one[1] == one[2] == one[4] == one[5] == [] and one[3] == [1]
+    assert one[6][0] == one[6][3] >= len(words) and one[6][1] == one[6][4] != one[6][2]
+    assert [x.tolist() for x in vocab.read_all(decontaminate.pa.array(texts))] == one
+    monkeypatch.setattr(decontaminate, "PIECE", 8)
+    assert [x.tolist() for x in vocab.read_all(decontaminate.pa.array(texts))] == one and [x.tolist() for x in vocab.read_all(decontaminate.pa.array(texts).slice(1, 5))] == one[1:6]
+    assert list(vocab.read_all(decontaminate.pa.array([], "string"))) == []
+
+
 def test_lcs_against_the_table():
     for _ in range(50):
         a, b = ([random.randrange(4) for _ in range(random.randrange(0, 12))] for _ in range(2))
