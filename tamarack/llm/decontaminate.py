@@ -6,7 +6,7 @@
    passages and its transpose with a random matrix: Z = A'A G, summed by blocks of words. From Z, the driver computes the
    leading right singular vectors (randomised SVD in Nystrom form). What of a word lies outside their space, which for rare words is
    most, is kept as a random projection of ``rest`` dimensions.
-3. A third pass slides windows over all documents and finds candidates by cosine. Items meet windows of one of six widths, at
+3. A third pass slides windows over all documents and finds candidates by cosine. Items meet windows of one of three widths, at
    least as long as they are; longer items are cut into pieces. A pair is a candidate if its cosine over all dimensions is ``cosine`` of
    what an item would have among unlike words, or if its cosine in the latent space alone is ``near``.
 4. A candidate leaks if the longest common subsequence covers ``lcs`` of the item's words; or ``paraphrase`` of them if it also
@@ -36,7 +36,8 @@ from tamarack.llm.common import staged
 from tamarack.llm.repeats import mixed, stretches
 
 STEP = 8
-WIDTHS = (24, 48, 96, 192)
+WIDTHS = (48, 96, 192)
+PASSAGE = 48
 STRETCH = 1 << 14
 PIECE = 1 << 22  # bytes of text that are read at once
 ENTRIES = 20_000  # of the TF-IDF matrix that are multiplied at once
@@ -50,9 +51,9 @@ _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 
 @dataclass(frozen=True)
 class Params:
-    rank: int = 48
+    rank: int = 32
     over: int = 8
-    rest: int = 32
+    rest: int = 40
     hashed: int = 13
     cosine: float = 0.4
     near: float = 0.9
@@ -253,7 +254,7 @@ def _basis(read: DataFrame, idf: np.ndarray, p: Params) -> np.ndarray:
 
         def take(texts):
             nonlocal held, n
-            for entry in _passages(np.concatenate(texts), weights, WIDTHS[1]):
+            for entry in _passages(np.concatenate(texts), weights, PASSAGE):
                 held.append(entry)
                 n += len(entry[1])
                 if n > ENTRIES:
@@ -264,7 +265,7 @@ def _basis(read: DataFrame, idf: np.ndarray, p: Params) -> np.ndarray:
             texts, length = [], 0
             for raw in batch.column(0):
                 ids = numbers(raw)
-                texts += [ids, np.full(-len(ids) % WIDTHS[1], size, np.int32)]  # each text begins a passage of its own
+                texts += [ids, np.full(-len(ids) % PASSAGE, size, np.int32)]  # each text begins a passage of its own
                 length += len(ids)
                 if length > STRETCH:
                     take(texts)

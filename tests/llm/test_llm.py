@@ -435,14 +435,14 @@ def test_op10_places(monkeypatch, dense):
     pieces = [np.array(random.choices(range(30), k=15), np.int32) for _ in range(7)]
     items = [decontaminate.Item(k, x, x[-5:], x) for k, x in enumerate(pieces)]
     search = decontaminate.Search(items, np.ones(40), np.ones((40, 2), np.float32), 30, decontaminate.Params())
-    ids = np.array(random.choices(range(41), k=80), np.int32)
+    ids = np.array(random.choices(range(41), k=128), np.int32)
     ((width, _, n, _, _, _, keys, times, table),) = search.groups
-    assert (table is None) == (dense == 0) and width == 24 and n.tolist() == [15] * 7
+    assert (table is None) == (dense == 0) and width == 48 and n.tolist() == [15] * 7
     start, item = np.repeat(np.arange(7), 7), np.tile(np.arange(7), 7)
-    want = [sum(int(x) in set(pieces[i].tolist()) for x in ids[8 * s : 8 * s + 24]) for s, i in zip(start, item, strict=True)]
-    assert search._places(ids, start, 24, item, keys, table).tolist() == want
-    want = [sum(int(x) in set(ids[8 * s : 8 * s + 24].tolist()) for x in pieces[i]) for s, i in zip(start, item, strict=True)]
-    assert search._shared(ids, start, 24, item, keys, times).tolist() == want
+    want = [sum(int(x) in set(pieces[i].tolist()) for x in ids[8 * s : 8 * s + 48]) for s, i in zip(start, item, strict=True)]
+    assert search._places(ids, start, 48, item, keys, table).tolist() == want
+    want = [sum(int(x) in set(ids[8 * s : 8 * s + 48].tolist()) for x in pieces[i]) for s, i in zip(start, item, strict=True)]
+    assert search._shared(ids, start, 48, item, keys, times).tolist() == want
 
 
 def reworded_corpus():
