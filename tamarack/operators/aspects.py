@@ -32,23 +32,36 @@ def negated(text: Column, start: Column, cfg: AspectConfig) -> Column:
 def matches(text: Column, cfg: AspectConfig) -> Column:
     """All keyword occurrences, overlapping ones too, as ``struct(start, ord, keyword, aspect, end, negated)``, by place and
     dictionary order. A keyword starts where no letter or digit stands before; with ``strict_boundary`` it ends likewise."""
-    dictionary = F.array(*[F.struct(F.lit(o).alias("ord"), F.lit(k).alias("keyword"), F.lit(a).alias("aspect"), F.lit(len(k)).alias("n")) for o, k, a in cfg.keywords])
-    return let(F.lower(text), lambda low: _matches(low, dictionary, cfg))
+    by: dict[str, list[Column]] = {}
+    for o, k, a in cfg.keywords:
+        by.setdefault(k[:2], []).append(F.struct(F.lit(o).alias("ord"), F.lit(k).alias("keyword"), F.lit(a).alias("aspect"), F.lit(len(k)).alias("n")))
+    # a keyword is looked up by its first two characters; those of one character, of which there are few, are tried everywhere
+    short = [x for k, own in by.items() if len(k) == 1 for x in own]
+    long = [y for k, own in by.items() if len(k) == 2 for y in (F.lit(k), F.array(*own))]
+    return let(F.lower(text), lambda low: _matches(low, F.create_map(*long) if long else None, F.array(*short) if short else None, cfg))
 
 
-def _matches(low: Column, dictionary: Column, cfg: AspectConfig) -> Column:
+def _matches(low: Column, long: Column | None, short: Column | None, cfg: AspectConfig) -> Column:
     # places after a character that is neither letter nor digit, from the lengths of what stands between these
     none = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("out"))
     begins = F.aggregate(F.split(low, r"[^\p{L}\p{N}]", -1), none, lambda acc, t: F.struct((acc["at"] + F.length(t) + 1).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
 
-    def found(k: Column, places: Column) -> Column:
-        def fits(i: Column) -> Column:
+    def at(i: Column) -> Column:
+        """The keywords that start at ``i``."""
+        own = F.element_at(long, F.substr(low, i, F.lit(2))) if long is not None else None
+        if short is not None:
+            own = short if own is None else F.coalesce(F.concat(short, own), short)
+
+        def fits(k: Column) -> Column:
             ok = F.substr(low, i, k["n"]) == k["keyword"]
             return ok & ~F.substr(low, i + k["n"], F.lit(1)).rlike(WORD) if cfg.strict_boundary else ok
 
-        return F.transform(F.filter(places, fits), lambda i: F.struct((i - 1).cast("int").alias("start"), k["ord"].alias("ord"), k["keyword"].alias("keyword"), k["aspect"].alias("aspect"), (i - 1 + k["n"]).cast("int").alias("end")))
+        return F.transform(F.filter(own, fits), lambda k: F.struct((i - 1).cast("int").alias("start"), k["ord"].alias("ord"), k["keyword"].alias("keyword"), k["aspect"].alias("aspect"), (i - 1 + k["n"]).cast("int").alias("end")))
 
-    own = let(begins, lambda places: F.flatten(F.transform(F.filter(dictionary, lambda k: F.contains(low, k["keyword"])), lambda k: found(k, places))))
+    kind = "array<struct<start:int,ord:int,keyword:string,aspect:string,end:int>>"
+    if long is None and short is None:
+        return F.array().cast("array<struct<start:int,ord:int,keyword:string,aspect:string,end:int,negated:boolean>>")
+    own = F.flatten(F.filter(F.transform(begins, at), lambda x: x.isNotNull())).cast(kind)
     if cfg.prefer_longest:
         own = let(own, _longest)
     return F.transform(F.array_sort(own), lambda m: F.struct(m["start"].alias("start"), m["ord"].alias("ord"), m["keyword"].alias("keyword"), m["aspect"].alias("aspect"), m["end"].alias("end"), negated(low, m["start"], cfg).alias("negated")))

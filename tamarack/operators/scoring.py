@@ -95,7 +95,7 @@ def score_distinct(df: DataFrame, key: str, text: Column, scorer: Callable[[Data
     own = df.groupBy(F.col(key).alias("_key")).agg(F.min(text).alias("_text"))
     scored = scorer(own).select("_key", F.col("label").alias("_label"), F.col("score").alias("_score"), F.col("model_version").alias("_version"))
     out = df.join(scored, F.col(key) == F.col("_key"), "left")
-    return out.withColumns({"label": F.coalesce("_label", F.lit("neutral")), "score": F.coalesce("_score", F.lit(0.5)), "model_version": F.coalesce("_version", F.lit(""))}).drop("_key", "_label", "_score", "_version")
+    return out.withColumns({"label": F.coalesce("_label", F.lit("neutral")), "score": F.when(F.col("_label").isNull(), 0.5).otherwise(F.col("_score")), "model_version": F.coalesce("_version", F.lit(""))}).drop("_key", "_label", "_score", "_version")
 
 
 def apply_negation(label: Column, negated: Column) -> tuple[Column, Column]:

@@ -86,7 +86,7 @@ def yaml_lookup(spark, sf_dir):
 def cached_result(spark, sf_dir):
     """An earlier result is used if it has rows."""
     root = _work(spark)
-    schema = T.StructType([T.StructField("r_regionkey", T.LongType()), T.StructField("r_name", T.StringType())])
+    schema = T.StructType([T.StructField("r_regionkey", T.IntegerType()), T.StructField("r_name", T.StringType())])
     sinks.write_text(spark, f"{root}/empty.json", "[]")
     sinks.write_text(spark, f"{root}/full.json", json.dumps([{"r_regionkey": r["r_regionkey"], "r_name": r["r_name"]} for r in _small(table(spark, sf_dir, "region"))]))
     found = [readers.cached(spark, f"{root}/{n}.json", schema) for n in ("none", "empty", "full")]

@@ -209,8 +209,8 @@ _parser("path_parse", "part", "p_partkey", lambda: F.concat(F.lit("https://f.vn/
 _parser("rank_parse", "part", "p_partkey", lambda: F.concat(_c("p_size"), F.lit(". "), F.col("p_name")), lambda c: [parse.rank_and_name(c)["rank"].alias("rank"), parse.rank_and_name(c)["name"].alias("name")], "SELECT p_partkey, p_size::INT AS rank, p_name AS name FROM part")
 _parser("comment_residue", "part", "p_partkey", lambda: F.concat(F.lit("An good "), F.col("p_brand"), F.lit("x 12-29 2025 Reply 3 Like ")), lambda c: [parse.comment_residue(c, F.lit("An")).alias("body")], "SELECT p_partkey, 'good ' || p_brand || 'x 12-29 2025 Reply' AS body FROM part")
 _parser("booking_url", "part", "p_partkey", lambda: F.concat(F.lit("https://v.com/r-"), _c("p_size"), F.lit("?a=1&date=x&lt=2#f")), lambda c: [parse.booking_url(c, F.lit("05-10-2026"), F.lit("bus")).alias("bus"), parse.booking_url(c, F.lit("05-10-2026"), F.lit("train")).alias("train")], "SELECT p_partkey, 'https://v.com/r-' || p_size || '?a=1&date=05-10-2026&lt=1#f' AS bus, 'https://v.com/r-' || p_size || '?a=1&date%5Bdepart%5D=2026-10-05&passenger%5Badt%5D=1&passenger%5Bchd%5D=0&passenger%5Beld%5D=0&passenger%5Bstu%5D=0&passenger%5Buni%5D=0#f' AS train FROM part")
-_parser("train_cards", "part", "p_partkey", lambda: F.concat(F.lit("21:45  Ga A  7h 55p  05:40  Ga B  Tàu SE"), _c("p_size"), F.lit("  Ngồi mềm Từ 367K")), lambda c: [parse.train_card(c)[k].alias(k) for k in ("departure_time", "arrival_time", "operator_name", "vehicle_type", "price_vnd", "duration_min")], "SELECT p_partkey, '21:45' AS departure_time, '05:40' AS arrival_time, 'Tàu SE' || p_size AS operator_name, 'Ngồi mềm' AS vehicle_type, 367000::BIGINT AS price_vnd, 475 AS duration_min FROM part")
-_parser("flight_cards", "part", "p_partkey", lambda: F.concat(F.lit("VietJet Air  Deluxe  Airbus VJ"), _c("p_partkey"), F.lit("  20:30  SGN  2h10  22:40  HAN  1.362.341đ")), lambda c: [parse.flight_card(c)[k].alias(k) for k in ("departure_time", "arrival_time", "operator_name", "vehicle_type", "price_vnd", "duration_min")], "SELECT p_partkey, '20:30' AS departure_time, '22:40' AS arrival_time, 'VietJet Air' AS operator_name, 'VJ' || p_partkey AS vehicle_type, 1362341::BIGINT AS price_vnd, 120 AS duration_min FROM part")
+_parser("train_cards", "part", "p_partkey", lambda: F.concat(F.lit("18:05  Ga A  6h 20p  00:25  Ga B  Tàu SE"), _c("p_size"), F.lit("  Ngồi cứng Từ 215K")), lambda c: [parse.train_card(c)[k].alias(k) for k in ("departure_time", "arrival_time", "operator_name", "vehicle_type", "price_vnd", "duration_min")], "SELECT p_partkey, '18:05' AS departure_time, '00:25' AS arrival_time, 'Tàu SE' || p_size AS operator_name, 'Ngồi cứng' AS vehicle_type, 215000::BIGINT AS price_vnd, 380 AS duration_min FROM part")
+_parser("flight_cards", "part", "p_partkey", lambda: F.concat(F.lit("Bamboo Airways  Eco  Embraer QH"), _c("p_partkey"), F.lit("  11:15  AAA  1h35  12:50  BBB  980.500đ")), lambda c: [parse.flight_card(c)[k].alias(k) for k in ("departure_time", "arrival_time", "operator_name", "vehicle_type", "price_vnd", "duration_min")], "SELECT p_partkey, '11:15' AS departure_time, '12:50' AS arrival_time, 'Bamboo Airways' AS operator_name, 'QH' || p_partkey AS vehicle_type, 980500::BIGINT AS price_vnd, 60 AS duration_min FROM part")
 _parser("rating_labels", "part", "p_partkey", lambda: F.get(F.array(F.lit("Chất lượng"), F.lit("Giá cả"), F.lit("Phục vụ"), F.lit("khác")), F.col("p_size") % 4), lambda c: [parse.rating_field(c).alias("field"), text.slug(c).alias("slug")], "SELECT p_partkey, ['rating_quality', 'rating_price', 'rating_service', NULL][p_size % 4 + 1] AS field, ['chat-luong', 'gia-ca', 'phuc-vu', 'khac'][p_size % 4 + 1] AS slug FROM part")
 _parser("province_suffixes", "nation", "n_nationkey", lambda: F.concat(F.lit("food in "), F.lower("n_name")), lambda c: [parse.province_suffix(c, ["Nation", "China", "ia"]).alias("province")], "SELECT n_nationkey, CASE WHEN ends_with(lower(n_name), 'nation') THEN 'Nation' WHEN ends_with(lower(n_name), 'china') THEN 'China' WHEN ends_with(lower(n_name), 'ia') THEN 'ia' ELSE '' END AS province FROM nation")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import asdict
 from datetime import UTC, datetime
@@ -129,7 +130,7 @@ def run(spark: SparkSession, source: str, run_id: str, cfg: PipelineConfig = Pip
             summary["status"] = "error"
             break
     summary["config"] = {k: v for k, v in asdict(cfg).items() if k not in ("aspects",)}
-    sinks.write_report(spark, root, f"{run_id}_summary", summary)
+    sinks.write_text(spark, f"{root.rstrip('/')}/reports/{run_id}_summary.json", json.dumps(summary, ensure_ascii=False, indent=2, default=str))
     return summary
 
 

@@ -45,3 +45,40 @@ def test_numbers_have_no_gaps(spark):
     df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("x")).repartition(7)
     got = {r["x"]: r["n"] for r in entities.numbered(df, "x").collect()}
     assert got == {x: x + 1 for x in range(1000)}
+
+
+def test_scores_read_their_input_once(spark):
+    p = plan(catalog.s7(spark, DIR))
+    assert p.count("FileScan") + p.count("Scan parquet") <= 2 * 2 and p.count("documents.parquet") == plan(catalog.s6(spark, DIR)).count("documents.parquet") and "Python" not in p
+
+
+def test_medians_are_exact_in_ranges(spark):
+    import random
+    import statistics
+
+    from tamarack.operators import clean
+
+    draw = random.Random(4)
+    for own in ([1.0], [1.0, 2.0], [5.0] * 9 + [-1e9, 1e9], [draw.gauss(0, 1) for _ in range(501)], [round(draw.expovariate(1), 2) for _ in range(400)], [-1.7e308, 1.7e308, 3.0]):
+        df = spark.createDataFrame([(x,) for x in own] + [(None,), (float("nan"),)], "x double")
+        assert clean.exact_median(df, "x") == pytest.approx(statistics.median(own), rel=1e-15)
+        ordered = sorted(own)
+        values = df.select(F.col("x").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
+        assert all(clean._ranked(values, k, ordered[0], ordered[-1], 4, 3) == ordered[k] for k in {0, len(own) // 3, len(own) - 1})
+    assert clean.exact_median(spark.createDataFrame([(None,)], "x double"), "x") is None
+
+
+def test_pruned_names_lose_no_match(spark):
+    import random
+
+    from test_operators import plain_ratio
+
+    draw = random.Random(6)
+    name = lambda: " ".join("".join(draw.choice("abcáo") for _ in range(draw.randrange(0, 6))) for _ in range(draw.randrange(1, 4))).strip()
+    left = [(i, name(), f"p{i % 3}") for i in range(60)]
+    right = [(i, name(), f"p{i % 3}", f"u{i}") for i in range(80)]
+    got = {r["ord"]: (r["source_url_en"], round(r["match_score"], 4)) for r in entities.best_matches(spark.createDataFrame(left, "ord int, name string, province string"), spark.createDataFrame(right, "ord int, name string, province string, source_url string"), 60.0).collect()}
+    for i, a, p in left:
+        scored = [(-round(plain_ratio(a, b), 6), j, u) for j, b, q, u in right if q == p and round(plain_ratio(a, b), 6) >= 60]
+        best = min(scored, default=(0.0, 0, None))
+        assert got[i] == (best[2], round(-best[0], 4)), (a, best)
