@@ -209,11 +209,13 @@ def test_op3_very_long_text():
     assert simhash.fingerprint(" \n".join(words)) == brute_fingerprint(" ".join(words))
 
 
-@pytest.mark.parametrize("centres", [64, 1])
-def test_near_copies_against_brute_force(spark, monkeypatch, centres):
+@pytest.mark.parametrize(("tried", "block", "share"), [((1, 4, 4), 200_000, 20_000), ((), 300, 3)])
+def test_near_copies_against_brute_force(spark, monkeypatch, tried, block, share):
     import corpus_pipeline
 
-    monkeypatch.setattr(near_copies, "CENTRES", centres)
+    monkeypatch.setattr(near_copies, "TRIED", tried)
+    monkeypatch.setattr(near_copies, "BLOCK", block)
+    monkeypatch.setattr(near_copies, "SHARE", share)
 
     rows = [(1, None), (2, ""), (3, "a b"), (4, "A  b"), (None, "a b c")]
     for k in range(12):
