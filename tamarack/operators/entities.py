@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tamarack.config import NAME_PREFIXES
-from tamarack.functions.text import let, strip_accents
+from tamarack.functions.text import strip_accents
+from tamarack.operators import names
 from tamarack.session import pinned
 
 
@@ -70,25 +71,15 @@ def token_sort_ratio(a: Column, b: Column) -> Column:
     return F.when(n == 0, 100.0).otherwise(F.round(200.0 * lcs_length(x, y) / n, 6))
 
 
-def _bag(c: Column) -> Column:
-    """Each character with its number among its like: what two texts have in common is the intersection."""
-    own = F.filter(F.split(c, ""), lambda x: x != "")
-    return let(own, lambda a: F.transform(a, lambda x, i: F.concat(x, F.size(F.filter(F.slice(a, F.lit(1), i + 1), lambda y: y == x)).cast("string"))))
-
-
 def best_matches(left: DataFrame, right: DataFrame, threshold: float = 60.0, prefixes: tuple[str, ...] = NAME_PREFIXES) -> DataFrame:
     """Each left row with its best right row of the same province, or nulls and 0. Both have ``ord, name, province``; right also
-    ``source_url``. Among equal scores the first by ``ord`` wins. Pairs are of distinct names within a province; a pair's lengths and
-    the characters that it shares bound its score, and only those that can reach the threshold are compared."""
+    ``source_url``. Among equal scores the first by ``ord`` wins. Distinct names are compared within a province, see ``names``."""
     key = token_sort(normalize_name(F.col("name"), prefixes))
-    a = left.select("province", key.alias("_a")).distinct().select("province", "_a", _bag(F.col("_a")).alias("_abag"), F.length("_a").alias("_an"))
-    b = right.withColumn("_b", key).groupBy(F.col("province").alias("_province"), "_b").agg(F.min(F.struct("ord", "name", "source_url")).alias("_first"))
-    b = b.select("_province", "_b", "_first", _bag(F.col("_b")).alias("_bbag"), F.length("_b").alias("_bn"))
-    reach = F.lit(threshold - 1e-6)
-    pairs = a.join(b, F.col("province") == F.col("_province")).filter((F.col("_an") + F.col("_bn") == 0) | (200.0 * F.least("_an", "_bn") >= reach * (F.col("_an") + F.col("_bn"))))
-    pairs = pairs.filter((F.col("_an") + F.col("_bn") == 0) | (200.0 * F.size(F.array_intersect("_abag", "_bbag")) >= reach * (F.col("_an") + F.col("_bn")))).select("province", "_a", "_b", "_an", "_bn", "_first")
-    n = F.col("_an") + F.col("_bn")
-    pairs = pairs.withColumn("match_score", F.when(n == 0, 100.0).when(F.col("_a") == F.col("_b"), 100.0).otherwise(F.round(200.0 * lcs_length(F.col("_a"), F.col("_b")) / n, 6)))
+    a = left.filter("province IS NOT NULL").select("province", key.alias("_a")).distinct()
+    b = right.filter("province IS NOT NULL").withColumn("_b", key).groupBy("province", "_b").agg(F.min(F.struct("ord", "name", "source_url")).alias("_first"))
+    pairs = names.closest(a, b.select("province", "_b", "_first.ord"), threshold).join(b, ["province", "_b"])
+    n = F.length("_a") + F.length("_b")
+    pairs = pairs.withColumn("match_score", F.when(n == 0, 100.0).when(F.col("_a") == F.col("_b"), 100.0).otherwise(F.round(200.0 * F.col("lcs") / n, 6)))
     best = pairs.filter((F.col("match_score") >= threshold) & (F.col("match_score") > 0)).groupBy(F.col("province").alias("_p"), F.col("_a").alias("_k")).agg(F.min(F.struct(-F.col("match_score"), "_first.ord", "_first")).alias("m"))
     out = left.withColumn("_a", key).join(best, (F.col("province") == F.col("_p")) & (F.col("_a") == F.col("_k")), "left").withColumn("name_vn", F.col("name"))
     return out.withColumns({"name_en": F.col("m._first.name"), "source_url_en": F.col("m._first.source_url"), "match_score": F.coalesce(-F.col("m.col1"), F.lit(0.0))}).drop("m", "_p", "_k", "_a")

@@ -86,6 +86,25 @@ def test_pruned_names_lose_no_match(spark):
         assert got[i] == (best[2], round(-best[0], 4)), (a, best)
 
 
+def test_names_are_compared_in_trees(spark, monkeypatch):
+    """No pair of names is a row, and neither parts nor long names change a match."""
+    from tamarack.operators import names
+    from test_operators import plain_ratio
+
+    monkeypatch.setattr(names, "PART", 70)
+    monkeypatch.setattr(names, "SHARE", 10)
+    monkeypatch.setattr(names, "CELLS", 1500)
+    left = [(i, f"Supplier#{i * 37:06d}" if i % 5 else "", "p") for i in range(40)] + [(40, "a\x00b " * 20, "p"), (41, "Supplier#000001", None), (42, "Supplier#000001", "q")]
+    right = [(i, f"Customer#{i * 911 % 10000:06d}", "p", f"u{i}") for i in range(300)] + [(300, "a\x00b " * 19 + "c", "p", "long"), (301, " ", "p", "blank"), (302, "Supplier#000001", None, "none")]
+    got = entities.best_matches(spark.createDataFrame(left, "ord int, name string, province string"), spark.createDataFrame(right, "ord int, name string, province string, source_url string"), 30.0)
+    p = plan(got)
+    assert "MapInArrow" in p and "ArrowEvalPython" not in p and "NestedLoop" not in p
+    for r in got.collect():
+        scored = [(-round(plain_ratio(r["name"].lower(), b.lower()), 6), j, u) for j, b, q, u in right if q is not None and q == r["province"]]
+        best = min((x for x in scored if x[0] <= -30), default=(0.0, 0, None))
+        assert (r["source_url_en"], round(r["match_score"], 4)) == (best[2], round(-best[0], 4)), r
+
+
 ON_A_CLUSTER = """
 import sys
 from pyspark.sql import SparkSession
