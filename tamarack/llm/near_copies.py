@@ -1,10 +1,15 @@
 """Near copies by exact Jaccard similarity of word shingles.
 
 Each text is the set of the hashes of its shingles (``WORDS`` words, lower case; a shorter text is one shingle). Texts with
-equal sets are one. Minima of the set under ``ROWS * BANDS`` multipliers, hashed band by band, are the cells; a pair of
-similarity 0.8 shares no cell with a probability of 3e-6, a closer one with less.
+equal sets are one.
 
-Pairs of a cell are compared exactly, but only where links do not connect them yet. First, in rounds, a few sets of each cell's largest
+First SimHash: the fingerprints of the sets go through the grid of ``simhash`` (segment counts, Manhattan bound, exact Hamming distance)
+at its three bits, and each set is compared exactly with the nearest of those that the grid links it to (``near_bits``). But at a similarity
+of 0.8 some ten of 64 bits differ, and cells of a grid that hold all such pairs also hold most unrelated ones. So what the grid has not
+connected is looked for in cells of another kind: minima of the set under ``ROWS * BANDS`` multipliers, hashed band by band. A pair of
+similarity 0.8 shares no such cell with a probability of 3e-6, a closer one with less.
+
+Pairs of these cells are compared exactly, but only where links do not connect them yet. In rounds, a few sets of each cell's largest
 component (``TRIED``) are compared with the cell's sets outside it, and the components are joined anew: this connects nearly all that
 belong together. Then the sets outside the largest component of a cell are gathered in blocks of bounded size; each block is an index
 of shingles that all members of its cells, in shares of bounded size, are looked up in. So no pairs are sent, no cell or component is
@@ -22,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tamarack.llm import simhash
 from tamarack.llm.common import dropped, released, staged
 from tamarack.llm.graph import components
 from tamarack.llm.simhash import SEED, one_each, row_name
@@ -58,20 +64,21 @@ def cells(own: np.ndarray) -> np.ndarray:
 
 
 def sets(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, row, sid, n, cells``: the row's name, the set's fingerprint, size and cells. The set itself is not kept."""
+    """``doc_id, row, sid, n, fp, cells``: the row's name, the set's name, size, SimHash fingerprint and cells. The set itself is not
+    kept."""
 
     def run(batches):
         import xxhash
 
         for batch in batches:
-            sid, n, keys = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.int64), np.zeros((batch.num_rows, BANDS), np.int64)
+            sid, fp, n, keys = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.int64), np.zeros((batch.num_rows, BANDS), np.int64)
             for k, t in enumerate(batch.column(2)):
                 own = shingles(t.as_py(), words)
-                sid[k], n[k], keys[k] = xxhash.xxh64_intdigest(own.tobytes(), SEED), len(own), cells(own).view(np.int64)
+                sid[k], fp[k], n[k], keys[k] = xxhash.xxh64_intdigest(own.tobytes(), SEED), simhash.voted(own), len(own), cells(own).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * BANDS), pa.array(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sid.view(np.int64)), pa.array(n), lists], names=["doc_id", "row", "sid", "n", "cells"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sid.view(np.int64)), pa.array(n), pa.array(fp.view(np.int64)), lists], names=["doc_id", "row", "sid", "n", "fp", "cells"])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_name(docs).alias("row"), docs["text"]).mapInArrow(run, "doc_id long, row long, sid long, n long, cells array<long>")
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), row_name(docs).alias("row"), docs["text"]).mapInArrow(run, "doc_id long, row long, sid long, n long, fp long, cells array<long>")
 
 
 def members(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -102,10 +109,26 @@ def verified(pairs: DataFrame, own: DataFrame, least: float) -> DataFrame:
     return pairs.join(one[1], "b").join(one[0], "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def linked(cells: DataFrame, sets: DataFrame, least: float) -> DataFrame | None:
+def near_bits(sets: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of the sets ``sid, n, fp`` by SimHash, a written table: each set and, of those that the grid links it to, one whose
+    fingerprint is nearest. At most one pair for each set; of sets with one fingerprint, all are paired with the first."""
+    one = staged(sets.groupBy("fp").agg(F.min("sid").alias("first")), "near-fingerprints")
+    edges = simhash.linked(one.select("fp"))
+    bits = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
+    both = edges.select(F.col("a").alias("fp"), F.struct(bits.alias("bits"), F.col("b").alias("other")).alias("to")).unionAll(edges.select(F.col("b").alias("fp"), F.struct(bits.alias("bits"), F.col("a").alias("other")).alias("to")))
+    nearest = both.groupBy("fp").agg(F.min("to").alias("to")).select("fp", "to.other")
+    apart = nearest.join(one, "fp").join(one.select(F.col("fp").alias("other"), F.col("first").alias("b")), "other").select(F.col("first").alias("a"), "b")
+    equal = sets.select("sid", "fp").join(one, "fp").filter("sid <> first").select(F.col("first").alias("a"), F.col("sid").alias("b"))
+    pairs = apart.unionAll(equal).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    out = staged(pairs, "near-bits")
+    dropped(one, edges)
+    return out
+
+
+def linked(cells: DataFrame, sets: DataFrame, least: float, links: DataFrame | None = None) -> DataFrame | None:
     """``node, root`` of all sets that have links, a written table; null if there are none. ``cells``: ``cell, sid, n`` with the sets'
-    sizes; ``sets``: ``sid, own``."""
-    roots = links = tested = None
+    sizes; ``sets``: ``sid, own``; ``links``: ``a, b``, those that are known, a written table that is then deleted."""
+    roots, tested = None if links is None else components(links), None
     for turn in range(len(TRIED) + 1):
         m = cells.withColumn("root", F.col("sid")) if roots is None else cells.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         kinds = m.groupBy("cell", "root").agg(F.count("*").alias("size"))
@@ -204,20 +227,24 @@ def _more(table: DataFrame | None, rows: DataFrame) -> DataFrame:
 def _joined(docs: DataFrame, words: int, least: float) -> DataFrame:
     """``doc_id, row, component_id, root``, a written table; ``root`` names the component."""
     every = staged(sets(docs, words), "near-sets")
-    first = staged(every.groupBy("sid").agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("cells").alias("cells")), "near-distinct")
+    first = staged(every.groupBy("sid").agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("cells").alias("cells")), "near-distinct")
+    close = near_bits(first.select("sid", "n", "fp"))
+    released(docs.sparkSession)
     keys = staged(first.select("sid", "n", F.posexplode("cells").alias("band", "key")).select(F.xxhash64("band", "key").alias("cell"), "sid", "n"), "near-keys")
     shared = keys.groupBy("cell").agg(F.count("*").alias("all")).filter("all > 1").select("cell")
     cells = staged(keys.join(shared, "cell").select("cell", "sid", "n"), "near-cells")
     dropped(keys)
-    own = staged(members(docs, first.join(cells.select("sid").distinct(), "sid", "left_semi").select("row", "sid"), words), "near-members")
+    wanted = cells.select("sid").unionAll(close.select(F.explode(F.array("a", "b")).alias("sid"))).distinct()
+    own = staged(members(docs, first.join(wanted, "sid", "left_semi").select("row", "sid"), words), "near-members")
     released(docs.sparkSession)
-    roots = linked(cells, own, least)
+    links = staged(verified(close, own, least), "near-links")
+    roots = linked(cells, own, least, links)
     named = first.select("sid", "least")
     named = named.withColumn("root", F.col("sid")) if roots is None else named.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
     of = named.join(ids, "root").select("sid", "root", "component_id")
     out = staged(every.select("doc_id", "row", "sid").join(of, "sid").select("doc_id", "row", "component_id", "root"), "near-groups")
-    dropped(every, first, cells, own, *[x for x in (roots,) if x is not None])
+    dropped(every, first, close, cells, own, *[x for x in (roots,) if x is not None])
     return out
 
 

@@ -45,8 +45,12 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     ends = np.cumsum(sizes)
     begin, end = (ends - sizes)[:n].tolist(), (ends[words - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter([digest(line[b:e], SEED) for b, e in zip(begin, end, strict=True)], np.uint64, n)
-    votes = np.zeros(64, np.int64)
+    return voted(np.fromiter([digest(line[b:e], SEED) for b, e in zip(begin, end, strict=True)], np.uint64, n))
+
+
+def voted(hashes: np.ndarray) -> int:
+    """Majority vote of hashes, bit by bit."""
+    n, votes = len(hashes), np.zeros(64, np.int64)
     # each byte of a sum counts one of eight bits; 255 terms fit
     pad = -n % 255
     rows = np.concatenate([hashes, np.zeros(pad, np.uint64)]).reshape(-1, 255) if n > 255 else hashes.reshape(1, -1)
@@ -196,8 +200,8 @@ def grouped(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
 def deduplicated(docs: DataFrame, words: int = WORDS, bits: int = BITS, similarity: float | None = None) -> DataFrame:
     """One document of each component: the one with the smallest id (a null one last), of several with this id the one whose id and text
     have the smallest hash; of rows that repeat id and text, one. With a ``similarity``, documents link by the Jaccard similarity of
-    their shingles instead of the bits in which fingerprints differ, see ``near_copies``: at 0.8, some ten of 64 bits differ, more than
-    cells of a grid can tell from chance."""
+    their shingles: the grid's pairs are checked exactly, and pairs whose fingerprints differ more are looked for afterwards, see
+    ``near_copies``."""
     if similarity is None:
         return one_each(docs, _joined(docs, words, bits))
     from tamarack.llm import near_copies

@@ -241,6 +241,35 @@ def test_near_copies_against_brute_force(spark, monkeypatch, tried, block, share
     assert near_copies.grouped(df.limit(0)).count() == 0
 
 
+def test_near_copies_by_bits_first(spark, monkeypatch):
+    """The stage goes through SimHash's grid, and sets that the grid links are compared even if they share no other cell."""
+    import corpus_pipeline
+
+    draw, rows = random.Random(7), []
+    for k in range(30):
+        fp = draw.getrandbits(64)
+        for c in range(k % 4 + 1):
+            x = fp
+            for b in draw.sample(range(64), min(c, 1)):
+                x ^= 1 << b
+            rows.append((len(rows), 10, x - (1 << 64) if x >> 63 else x))
+    got = [(r["a"], r["b"]) for r in near_copies.near_bits(spark.createDataFrame(rows, "sid long, n long, fp long")).collect()]
+    fp = {sid: x for sid, _, x in rows}
+    near = {(i, j) for i in fp for j in fp if i < j and ((fp[i] ^ fp[j]) & ((1 << 64) - 1)).bit_count() <= 3}
+    assert set(got) <= near and len(got) <= len(rows) and groups_of(got).keys() == {i for p in near for i in p}
+    words = [f"w{k}" for k in range(60)]
+    own = [(k, near_copies.shingles(t).tobytes()) for k, t in enumerate([" ".join(words), " ".join([*words[:-1], "x"]), " ".join(words[:30])])]
+    sets = spark.createDataFrame(own, "sid long, own binary")
+    pairs = spark.createDataFrame([(0, 1), (0, 2)], "a long, b long")
+    links = common.staged(near_copies.verified(pairs, sets, 0.8), "near-links")
+    none = spark.createDataFrame([], "cell long, sid long, n long")
+    assert {(r["node"], r["root"]) for r in near_copies.linked(none, sets, 0.8, links).collect()} == {(0, 0), (1, 0)}
+    calls, real = [], simhash.linked
+    monkeypatch.setattr(simhash, "linked", lambda fps, bits=3: calls.append(bits) or real(fps, bits))
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words, "x"]))], "doc_id long, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()] == [1] and calls == [3]
+
+
 @pytest.mark.parametrize(("html", "want"), [
     (None, ""), ("", ""), ("plain  text", "plain text"), ("<nav>m</nav><article><h1>A &amp; B</h1><p>one<br>two<p>x</article><footer>f</footer>", "A & B\none two\nx"),
     ("<div class='ad'>x<article><p>Hello world</p>", "Hello world"), ("<div id='cookie-notice'>c</div><div><p>One two three.</p><p>Five.</p></div><div class='comments'><p>nice</p></div>", "One two three.\nFive."),
