@@ -44,8 +44,9 @@ ENTRIES = 20_000  # of the TF-IDF matrix that are multiplied at once
 CELLS = 1 << 18  # numbers of the windows' vectors that are compared at once
 GROUP = 1024  # items that are searched for together
 DENSE = 1 << 24  # cells of a table of words by items; larger ones are lists
-#: Marks that are cut off a word's ends: all characters of the common planes that are neither letters, digits, spaces nor underscores.
-MARKS = "".join(c for c in map(chr, range(0x3040)) if not (c.isalnum() or c.isspace() or c == "_"))
+#: What is cut off a word's ends: all characters of the common planes that are neither letters, digits nor underscores. Spaces too, as
+#: Arrow looks beyond the last text's end for the end of its white space: if what lies there is no character, a space stays on the word.
+MARKS = "".join(c for c in map(chr, range(0x3040)) if not (c.isalnum() or c == "_"))
 _SENTENCE = re.compile(r"(?<=[.?!])\s+|\n+")
 
 

@@ -572,6 +572,18 @@ def test_op10_words_in_any_script(monkeypatch):
     assert list(vocab.read_all(decontaminate.pa.array([], "string"))) == []
 
 
+def test_op10_white_space_at_the_end(monkeypatch):
+    """Words do not depend on the bytes that lie in memory behind a batch's last text."""
+    pa = decontaminate.pa
+    texts = [" \n ", "«One» two. ", "one two.\n", "two\u3000"]
+    vocab = decontaminate.Vocabulary(["one", "two"], 10)
+    for behind in (b"\0", b"a", b"\xff", b"\xc3"):
+        lower = lambda a, b=behind: pa.Array.from_buffers(pa.string(), 1, [None, pa.py_buffer(np.array([0, len(x := a[0].as_py().lower().encode())], np.int32)), pa.py_buffer(x + b)])
+        monkeypatch.setattr(decontaminate.pc, "utf8_lower", lower)
+        assert [vocab.read(t).tolist() for t in texts] == [[], [0, 1], [0, 1], [1]]
+        assert [decontaminate.tokens(t) for t in texts] == [[], ["one", "two"], ["one", "two"], ["two"]]
+
+
 def test_lcs_against_the_table():
     for _ in range(50):
         a, b = ([random.randrange(4) for _ in range(random.randrange(0, 12))] for _ in range(2))
