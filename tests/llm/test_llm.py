@@ -402,6 +402,33 @@ def test_op9_and_op7_words_equal_the_library(tmp_path):
         assert np.frombuffer(words.encode(t), "<u4").tolist() == other.encode(t, add_special_tokens=False).ids, t
 
 
+def test_op7_words_of_a_batch(monkeypatch):
+    """Words of texts that are looked up together, each once; pieces and an emptied store change nothing."""
+    from tokenizers import Tokenizer
+
+    model = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(model)
+    texts = [*ODD, None, "Été!!! «été» étE,*** don't 's x's a_b __ 42 4²2 ǅ ŉ ſ e\u0301 \u2003z", *BASE, " \n ", "word ", "word"]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    pa = token_output.pa
+    words, calls = token_output.Words(model), []
+    monkeypatch.setattr(words, "plain", lambda t, plain=words.plain: calls.append(t) or plain(t))
+    for piece, kept in ((1 << 23, 1_100_000), (100, 1_100_000), (1 << 23, 50), (1, 1)):
+        monkeypatch.setattr(token_output, "PIECE", piece)
+        monkeypatch.setattr(token_output, "CACHE_WORDS", kept)
+        monkeypatch.setattr(token_output, "MARKS", min(kept, 1 << 14))
+        got = list(words.encode_all(pa.array(["cut off", *texts], pa.string()).slice(1)))
+        assert np.concatenate([x for x, _ in got]).tolist() == [i for own in want for i in own]
+        assert np.concatenate([n for _, n in got]).tolist() == [len(own) for own in want]
+    assert list(words.encode_all(pa.array([], pa.string()))) == []
+    calls.clear()
+    monkeypatch.setattr(token_output, "CACHE_WORDS", 1_100_000)
+    many = [f"{a}{b}{c}" for a in ("new", "NEW", "né") for b in ("", "er", "est") for c in (".", "$$$", ",%%%", "!!")]
+    got = b"".join(x.tobytes() for x, _ in words.encode_all(pa.array(many)))
+    assert np.frombuffer(got, "<u4").tolist() == [i for t in many for i in library.encode(t, add_special_tokens=False).ids]
+    assert set(calls) <= {".", "$$$", ",%%%", "!!"}
+
+
 def test_op9_transducer_is_minimal_and_exact(tmp_path):
     keys = {("".join(random.choice("ab") for _ in range(random.randrange(1, 9))) + random.choice(["ing", "ed", ""])).encode(): bytes([i % 256] * 4 * (i % 3)) for i in range(300)}
     (tmp_path / "t").write_bytes(bpe.Transducer.built(keys))
