@@ -40,7 +40,7 @@ WIDTHS = (48, 96, 192)
 PASSAGE = 48
 STRETCH = 1 << 14
 PIECE = 1 << 22  # bytes of text that are read at once
-ENTRIES = 20_000  # of the TF-IDF matrix that are multiplied at once
+ENTRIES = 1 << 17  # of the TF-IDF matrix that are multiplied at once
 CELLS = 1 << 18  # numbers of the windows' vectors that are compared at once
 GROUP = 1024  # items that are searched for together
 DENSE = 1 << 24  # cells of a table of words by items; larger ones are lists
@@ -194,13 +194,20 @@ def numbers(raw: pa.BinaryScalar) -> np.ndarray:
     return np.frombuffer(raw.as_buffer(), np.int32) if raw.is_valid and raw.as_buffer().size else np.zeros(0, np.int32)
 
 
+def _distinct(ids: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Each number once, without sorting; ``place`` has room for every number, whatever it holds."""
+    at = np.arange(len(ids), dtype=np.int32)
+    place[ids] = at
+    return ids[place[ids] == at]
+
+
 def _frequencies(read: DataFrame, size: int) -> tuple[int, np.ndarray]:
     def run(batches):
-        n, df = 0, np.zeros(size + 1, np.int64)
+        n, df, place = 0, np.zeros(size + 1, np.int64), np.zeros(size, np.int32)
         for batch in batches:
             for raw in batch.column(0):
                 n += 1
-                df[np.unique(numbers(raw))] += 1
+                df[_distinct(numbers(raw), place)] += 1
         df[-1] = n
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(df[at])], names=["w", "n"])
@@ -247,7 +254,8 @@ def _basis(read: DataFrame, idf: np.ndarray, p: Params) -> np.ndarray:
             shift = np.cumsum([0, *(len(w) for _, w, _ in held)])[:-1]
             begin = np.concatenate([b + s for (b, _, _), s in zip(held, shift, strict=True)])
             word, value = np.concatenate([w for _, w, _ in held]), np.concatenate([v for _, _, v in held]).astype(np.float32)
-            low = np.add.reduceat(g[word] * value[:, None], begin, axis=0)
+            x, ends = g.take(word, axis=0), [*begin.tolist(), len(word)]
+            low = np.stack([value[a:b] @ x[a:b] for a, b in zip(ends, ends[1:], strict=False)])
             row = np.repeat(np.arange(len(begin)), np.diff([*begin, len(word)]))
             order = np.argsort(word, kind="stable")
             first = np.concatenate([[0], np.flatnonzero(np.diff(word[order])) + 1])
@@ -345,8 +353,9 @@ class Search:
                 keys, times = np.unique(np.concatenate([x.piece.astype(np.int64) + j * n_own for j, x in enumerate(own)]), return_counts=True)
                 table = None
                 if len(own) * n_own <= DENSE:
-                    table = np.zeros(len(own) * n_own, bool)
-                    table[keys] = True
+                    table = np.zeros((len(own), n_own + 1), np.uint8)  # the last column is for words of no item
+                    table[keys // n_own, keys % n_own] = 1
+                    table = table.ravel()
                 self.groups.append((width, own, n, unit(v).T.copy(), unit(v[:, : self.rank]).T.copy(), least, keys, times, table))
 
     def found(self, texts: list[np.ndarray]) -> list[dict[int, tuple[float, float, float]]]:
@@ -373,15 +382,11 @@ class Search:
         ids = np.full((blocks + WIDTHS[-1] // STEP) * STEP, self.none, np.int32)
         for (own, *_), b in zip(held, first.tolist(), strict=True):
             ids[b * STEP : b * STEP + len(own)] = own
-        low = np.zeros((blocks + 1, self.low.shape[1]), np.float32)
         at = np.flatnonzero(self.weighs[ids])
         at = at[_fresh(ids[at], at + 2 * WIDTHS[0] * np.searchsorted(first * STEP, at, "right"))]  # texts are far apart
         if not len(at):
             return
-        block = at // STEP
-        begin = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
-        low[block[begin] + 1] = np.add.reduceat(self.low[ids[at]], begin, axis=0)
-        np.cumsum(low, axis=0, out=low)
+        low = self._sums(ids, at, blocks)
         for width, items, n_words, whole, latent, least, keys, times, table in self.groups:
             n = width // STEP
             count = -(-np.maximum(1, n_blocks - n + n // 3) // (n // 3))
@@ -411,13 +416,23 @@ class Search:
                 window, item, near = window[keep], item[keep], near[keep]
                 self._check(held, items, first, text, start, end, window, item, near)
 
+    def _sums(self, ids: np.ndarray, at: np.ndarray, blocks: int) -> np.ndarray:
+        """Sums of the vectors of the words at ``at`` over all blocks before each block, and over all."""
+        word = np.full(blocks * STEP, self.none, np.int32)
+        word[at] = ids[at]
+        low = np.zeros((blocks + 1, self.low.shape[1]), np.float32)
+        for k in range(STEP):  # rows of a block one by one, as numpy's sums over stretches of rows go by columns
+            low[1:] += self.low.take(word[k::STEP], axis=0)
+        return np.cumsum(low, axis=0, out=low)
+
     def _places(self, ids: np.ndarray, start: np.ndarray, width: int, item: np.ndarray, keys: np.ndarray, table: np.ndarray | None) -> np.ndarray:
         """For each pair of window and item, how many of the window's places have a word of the item."""
+        if table is not None:
+            word = np.lib.stride_tricks.sliding_window_view(np.minimum(ids, self.n_own), width)[start * STEP]
+            return table.take(word + (item[:, None] * (self.n_own + 1)).astype(np.int32)).sum(axis=1, dtype=np.int16)
         word = ids[start[:, None] * STEP + np.arange(width)]
         key = item[:, None].astype(np.int64) * self.n_own + word
         own = word < self.n_own
-        if table is not None:
-            return (table[np.where(own, key, 0)] & own).sum(axis=1)
         at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
         return ((keys[at] == key) & own).sum(axis=1)
 

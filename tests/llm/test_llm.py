@@ -599,6 +599,19 @@ def test_op10_words_in_any_script(monkeypatch):
     assert list(vocab.read_all(decontaminate.pa.array([], "string"))) == []
 
 
+def test_op10_numbers_each_once_and_sums_of_blocks():
+    place = np.full(50, 7, np.int32)
+    for n in (0, 1, 30, 400):
+        ids = np.array(random.choices(range(50), k=n), np.int32)
+        assert sorted(decontaminate._distinct(ids, place).tolist()) == sorted(set(ids.tolist()))
+    own = np.arange(20, dtype=np.int32)
+    search = decontaminate.Search([decontaminate.Item(0, own, own[-5:], own)], np.linspace(1, 2, 40), np.linalg.qr(np.random.default_rng(0).standard_normal((40, 3)))[0].astype(np.float32), 20, decontaminate.Params())
+    ids = np.array(random.choices(range(41), k=96), np.int32)
+    at = np.array(sorted(random.sample(range(88), 60)))
+    want = [search.low[ids[at[at < 8 * b]]].sum(axis=0) for b in range(12)]
+    assert np.allclose(search._sums(ids, at, 11), want, atol=1e-4)
+
+
 def test_op10_white_space_at_the_end(monkeypatch):
     """Words do not depend on the bytes that lie in memory behind a batch's last text."""
     pa = decontaminate.pa
